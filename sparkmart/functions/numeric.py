@@ -70,8 +70,10 @@ def spike_label(daily: Column | str, total: Column | str, n: Column | str) -> Co
 
 
 def parse_int(text: Column | str) -> Column:
-    """Integer.parseInt after trim; NULL (row rejected) when not an integer."""
-    return F.trim(_c(text)).try_cast("int")
+    """Integer.parseInt after trim: an optional sign and digits only, within
+    int range; anything else (including '17.0') is NULL and the row rejected."""
+    t = F.trim(_c(text))
+    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
 
 
 def parse_price(text: Column | str) -> Column:

@@ -24,7 +24,20 @@ fact AS MATERIALIZED (
          dp.product_price AS unit_price,
          CAST(dp.product_price * CAST(l.l_quantity AS INTEGER) AS DECIMAL(18,2)) AS total_sale
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN dim_product dp ON l.l_partkey = dp.product_id)
+  JOIN dim_product dp ON l.l_partkey = dp.product_id),
+tx AS (
+  SELECT l.l_orderkey AS order_id, CAST(o.o_orderdate AS DATE) AS order_date,
+         l.l_partkey AS product_id, o.o_custkey AS customer_id,
+         CAST(l.l_quantity AS INTEGER) AS quantity, l.l_linenumber AS line_number
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+dim_customer AS (
+  SELECT c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS segment FROM customer),
+daily AS (
+  SELECT product_id, order_date, SUM(total_sale) AS daily_sales,
+         COUNT(*) OVER (PARTITION BY product_id) AS n,
+         SUM(SUM(total_sale)) OVER (PARTITION BY product_id) AS total,
+         SUM(SUM(total_sale) * SUM(total_sale)) OVER (PARTITION BY product_id) AS sumsq
+  FROM fact GROUP BY product_id, order_date)
 """
 
 
