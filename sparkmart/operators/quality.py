@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 from sparkmart.functions.dates import date_key
 
 
+def _key_set(c: str) -> Column:
+    """A key counts as set when present and non-negative. The loader tests
+    ``id > 0`` because an unset Java int is 0; typed columns mark an unset
+    key with NULL, so 0 stays a valid key (the test tables start at 0)."""
+    return F.coalesce(F.col(c) >= 0, F.lit(False))
+
+
 def valid_tuple(has_customer: Column | str = "has_customer",
                 has_product: Column | str = "has_product") -> Column:
-    """The loader's tuple check: positive keys, non-negative total and both
+    """The loader's tuple check: keys set, non-negative total and both
     dimension sides found; quantity must also be positive (the fact CHECK)."""
     c = lambda x: F.col(x) if isinstance(x, str) else x
-    return (F.coalesce(F.col("date_id"), F.lit(0)) > 0) & \
-        (F.coalesce(F.col("customer_id"), F.lit(0)) > 0) & \
-        (F.coalesce(F.col("product_id"), F.lit(0)) > 0) & \
-        (F.coalesce(F.col("store_id"), F.lit(0)) > 0) & \
+    return _key_set("date_id") & _key_set("customer_id") & _key_set("product_id") & \
+        _key_set("store_id") & \
         (F.coalesce(F.col("total_sale"), F.lit(-1)) >= 0) & \
         (F.coalesce(F.col("quantity"), F.lit(0)) > 0) & \
         F.coalesce(c(has_customer), F.lit(False)) & F.coalesce(c(has_product), F.lit(False))
@@ -32,7 +37,7 @@ def reject_reason(date_from: str, date_to: str) -> Column:
             .when(F.col("quantity") <= 0, F.lit("quantity not positive"))
             .when((d < F.lit(date_from).cast("date")) | (d > F.lit(date_to).cast("date")),
                   F.lit("order_date out of range"))
-            .when(F.col("store_id").isNull() | (F.col("store_id") <= 0), F.lit("no store"))
+            .when(~_key_set("store_id"), F.lit("no store"))
             .when(F.col("product_price") <= 0, F.lit("unit_price not positive")))
 
 

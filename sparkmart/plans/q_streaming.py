@@ -1 +1,123 @@
-"""Registered queries."""
+"""Streaming queries. Each run lands the transaction feed of
+the test data as files in a fresh folder under the shared checkpoint
+directory, streams it with ``availableNow`` and returns what the sinks hold.
+The oracle is the same enrichment written as one batch query.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkmart.plans.oracle_sql import with_star
+from sparkmart.plans.registry import register
+from sparkmart.session import scratch_path
+from sparkmart.sources.testdata import DATE_RANGE, star
+from sparkmart.streaming.fact_stream import (
+    StreamPaths, read_dim_date, read_fact, read_rejects, run_fact_stream, stage_files,
+)
+
+N_FILES = 8
+FACT_COLS = ["order_id", "order_date", "date_id", "customer_id", "product_id", "store_id",
+             "quantity", "unit_price", "total_sale"]
+
+SQL_FACT = with_star("""
+SELECT f.order_id, f.order_date, f.date_id, f.customer_id, f.product_id, f.store_id,
+       f.quantity, f.unit_price, f.total_sale
+FROM fact f WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)""")
+
+
+def _run(spark, sf_dir, name, slices=None, restarts=0):
+    """Stage the feed (optionally in date slices, each followed by a stream
+    run on the same checkpoint) and return (paths, progress)."""
+    s = star(spark, sf_dir)
+    paths = StreamPaths(scratch_path(spark, name))
+    tx = s.transactions
+    schema = tx.schema
+    progress = []
+    for cond in (slices or [None]):
+        stage_files(tx if cond is None else tx.filter(cond), paths.source, N_FILES)
+        progress += run_fact_stream(spark, paths, schema, s.dim_customer, s.dim_product, *DATE_RANGE)
+    for _ in range(restarts):
+        progress += run_fact_stream(spark, paths, schema, s.dim_customer, s.dim_product, *DATE_RANGE)
+    return paths, progress
+
+
+@register("stream_micro_batch", SQL_FACT, "2.9")
+def stream_micro_batch(spark, sf_dir):
+    paths, _ = _run(spark, sf_dir, "stream-micro-batch")
+    return read_fact(spark, paths).select(*FACT_COLS)
+
+
+@register("stream_dim_join", SQL_FACT, "2.9")
+def stream_dim_join(spark, sf_dir):
+    paths, _ = _run(spark, sf_dir, "stream-dim-join")
+    return read_fact(spark, paths).select(*FACT_COLS)
+
+
+@register("stream_incremental_dedupe", SQL_FACT, "2.9")
+def stream_incremental_dedupe(spark, sf_dir):
+    # two deliveries that overlap by one year: re-delivered lines load once
+    d = F.col("order_date")
+    paths, _ = _run(spark, sf_dir, "stream-dedupe",
+                    slices=[d < F.lit("1998-07-01").cast("date"), d >= F.lit("1997-07-01").cast("date")])
+    return read_fact(spark, paths).select(*FACT_COLS)
+
+
+@register("stream_resume", SQL_FACT, "2.9")
+def stream_resume(spark, sf_dir):
+    # first slice, restart with new files, then a restart with nothing new
+    d = F.col("order_date")
+    paths, _ = _run(spark, sf_dir, "stream-resume",
+                    slices=[d < F.lit("1998-01-01").cast("date"), d >= F.lit("1998-01-01").cast("date")],
+                    restarts=1)
+    return read_fact(spark, paths).select(*FACT_COLS)
+
+
+@register("stream_date_get_or_create", with_star("""
+SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_id, d AS full_date,
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
+       CAST(day(d) AS INTEGER) AS day_of_month, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
+       dayname(d) AS day_name, dayofweek(d) IN (0, 6) AS is_weekend
+FROM (SELECT DISTINCT order_date AS d FROM fact f
+      WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)) t"""), "2.9")
+def stream_date_get_or_create(spark, sf_dir):
+    d = F.col("order_date")
+    paths, _ = _run(spark, sf_dir, "stream-dates",
+                    slices=[d < F.lit("1998-07-01").cast("date"), d >= F.lit("1997-07-01").cast("date")])
+    return read_dim_date(spark, paths)
+
+
+@register("stream_validate_route", with_star("""
+SELECT 'fact' AS route, CAST(NULL AS VARCHAR) AS reason, COUNT(*) AS n_rows FROM tx t
+WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = t.customer_id)
+  AND EXISTS (SELECT 1 FROM dim_product p WHERE p.product_id = t.product_id)
+  AND t.quantity > 0 AND t.order_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+HAVING COUNT(*) > 0
+UNION ALL
+SELECT 'reject', reason, COUNT(*) FROM (
+  SELECT CASE WHEN NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = t.customer_id)
+              THEN 'unknown customer_id'
+              WHEN NOT EXISTS (SELECT 1 FROM dim_product p WHERE p.product_id = t.product_id)
+              THEN 'unknown product_id'
+              WHEN t.quantity <= 0 THEN 'quantity not positive'
+              WHEN t.order_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+              THEN 'order_date out of range' END AS reason
+  FROM tx t) r
+WHERE reason IS NOT NULL GROUP BY reason"""), "2.9")
+def stream_validate_route(spark, sf_dir):
+    paths, _ = _run(spark, sf_dir, "stream-route")
+    good = read_fact(spark, paths).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 0") \
+        .select(F.lit("fact").alias("route"), F.lit(None).cast("string").alias("reason"), "n_rows")
+    bad = read_rejects(spark, paths).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")) \
+        .select(F.lit("reject").alias("route"), "reason", "n_rows")
+    return good.unionByName(bad)
+
+
+@register("stream_metrics", None, "2.9")
+def stream_metrics(spark, sf_dir):
+    """Rows and seconds per micro-batch from the query progress (rows-only
+    check: batch boundaries depend on file splits)."""
+    _, progress = _run(spark, sf_dir, "stream-metrics")
+    rows = [(int(p["batch_id"]), int(p["num_input_rows"]), int(p["duration_ms"] or 0)) for p in progress]
+    return spark.createDataFrame(rows, "batch_id long, num_input_rows long, duration_ms long")

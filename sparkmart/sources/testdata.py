@@ -88,17 +88,28 @@ def calendar(spark: SparkSession, start: str = DATE_RANGE[0],
     return days.select(*calendar_columns(d))
 
 
+def line_identity(li: DataFrame) -> "F.Column":
+    """128-bit identity of a source order line (two 64-bit hashes of the
+    whole line). No column subset of a line is unique, the full line is;
+    128 bits keep collisions negligible even at 10^12 lines."""
+    cols = [F.col(c) for c in li.columns]
+    return F.struct(F.xxhash64(*cols).alias("h1"),
+                    F.xxhash64(F.lit("line"), *reversed(cols)).alias("h2"))
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transaction feed: one row per order line."""
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders")
+    li = li.withColumn("line_id", line_identity(li))
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .select(li.l_orderkey.alias("order_id"),
                     o.o_orderdate.cast("date").alias("order_date"),
                     li.l_partkey.alias("product_id"),
                     o.o_custkey.alias("customer_id"),
                     li.l_quantity.cast("int").alias("quantity"),
-                    li.l_linenumber.alias("line_number")))
+                    li.l_linenumber.alias("line_number"),
+                    "line_id"))
 
 
 def build_fact(tx: DataFrame, product: DataFrame) -> DataFrame:
