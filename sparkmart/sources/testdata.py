@@ -58,7 +58,9 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     s = read_table(spark, sf_dir, "supplier")
-    n_supp = s.agg(F.count(F.lit(1))).scalar()  # uncorrelated, runs once
+    # One number from the Parquet footers; as a literal it avoids a scalar
+    # subquery inside the join condition (re-planned in every branch).
+    n_supp = s.count()
     return (p.join(s, (p.p_partkey % n_supp) == s.s_suppkey)
             .select(p.p_partkey.alias("product_id"),
                     p.p_name.alias("product_name"),
