@@ -42,3 +42,31 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
     """Global top-k: each partition keeps its best k, then one merge
     (TakeOrderedAndProject); no full sort."""
     return df.orderBy(*order).limit(k)
+
+
+def rank_within_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+                       name: str = "rank", num_partitions: int | None = None) -> DataFrame:
+    """RANK() OVER (PARTITION BY group ORDER BY order) without putting a
+    whole group in one task.
+
+    Rows are range-partitioned on (group, order): equal keys always land in
+    the same partition, so ties never straddle a boundary and a hot group
+    is spread over several partitions. Each partition ranks its rows
+    locally; the rank is then shifted by the number of rows of the same group
+    in earlier partitions (a prefix sum over the small per-(partition, group)
+    count table, whose partition count per group is at most the number of
+    partitions).
+    """
+    gcols = [F.col(c) for c in group]
+    ocols = [F.col(c) if isinstance(c, str) else c for c in order]
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    s = (df.repartitionByRange(n, *gcols, *ocols).withColumn("__pid", F.spark_partition_id())
+         .checkpoint(eager=True))
+    local = s.withColumn("__r", F.rank().over(Window.partitionBy("__pid", *group).orderBy(*ocols)))
+    counts = s.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"))
+    offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)))
+    out = local.join(offs.select("__pid", *group, "__off"), ["__pid", *group])
+    return out.withColumn(name, (F.col("__off") + F.col("__r")).cast("int")).drop("__pid", "__r", "__off")

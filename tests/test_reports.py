@@ -115,3 +115,42 @@ def test_t22_hour_bucket_events(spark):
     assert set(out) == {("A", "B")}
     assert out[("A", "B")].times_together == 3
     assert out[("A", "B")].min_minutes_apart == 9
+
+
+def test_rank_within_groups_matches_window(spark):
+    from pyspark.sql import Window
+    from sparkmart.operators.ordering import rank_within_groups
+    rows = [(g, v % 7) for g in range(3) for v in range(40 * (g + 1))]
+    df = spark.createDataFrame(rows, "g int, v int")
+    got = sorted(tuple(r) for r in rank_within_groups(df, ["g"], [F.desc("v")], num_partitions=5)
+                 .select("g", "v", "rank").collect())
+    exp = sorted(tuple(r) for r in df.withColumn(
+        "rank", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v")))).collect())
+    assert got == exp
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_event_gap_across_partitions_brute_force(spark, parts):
+    import datetime as dt
+    import random
+    from sparkmart.operators import affinity as A
+    rnd = random.Random(parts)
+    base = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [(i, base + dt.timedelta(seconds=rnd.randrange(0, 3 * 3600)), rnd.randrange(3),
+             rnd.choice("ABC"), 0.0, "") for i in range(120)]
+    ev = spark.createDataFrame(
+        rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {(r.type1, r.type2): (r.times_together, r.min_minutes_apart)
+               for r in A.event_type_affinity(ev, min_freq=1, top_n=10).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    exp = {}
+    for a in rows:
+        for b in rows:
+            if a[3] < b[3] and a[2] != b[2] and a[1].replace(minute=0, second=0) == b[1].replace(minute=0, second=0):
+                d = int(abs((b[1] - a[1]).total_seconds()) // 60)
+                c, m = exp.get((a[3], b[3]), (0, None))
+                exp[(a[3], b[3])] = (c + 1, d if m is None else min(m, d))
+    assert got == exp
