@@ -20,17 +20,35 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (about 100 TB of input, ~1000 executors). The
+# initial shuffle width is large and AQE coalesces small partitions and
+# splits skewed ones at run time; scan splits stay near 512 MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def get_spark(master: str | None = None, app: str = "sparkmart",
               shuffle_partitions: int | None = None,
-              extra: dict[str, str] | None = None) -> SparkSession:
+              extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the package defaults.
 
-    On a cluster, ``master`` stays None and the launcher decides.
+    On a cluster, ``master`` stays None and the launcher decides;
+    ``cluster=True`` adds ``CLUSTER_CONF``.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
