@@ -39,10 +39,10 @@ def attach(df: DataFrame, dim: DataFrame, key: str | Sequence[str],
 
 
 def semi_filter(df: DataFrame, ref: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Rows of ``df`` whose key exists in ``ref`` (FK check, EXISTS)."""
-    r = ref.select(F.col(right_key).alias(left_key)).distinct() if left_key != right_key \
-        else ref.select(right_key)
-    return df.join(r, left_key, "left_semi")
+    """Rows of ``df`` whose key exists in ``ref`` (FK check, EXISTS).
+    A left-semi join emits each left row at most once, whatever the
+    multiplicity of the key on the right."""
+    return df.join(ref.select(F.col(right_key).alias(left_key)), left_key, "left_semi")
 
 
 def anti_filter(df: DataFrame, ref: DataFrame, left_key: str, right_key: str,

@@ -277,9 +277,3 @@ def q10_store_quarter_view(star: Star, year: int | None = None) -> DataFrame:
         round2(safe_divide("rev", "total_units_sold")).alias("revenue_per_unit"),
         round2(safe_divide("rev", "number_of_orders")).alias("revenue_per_order"))
         .orderBy("store_name", "sale_year", "quarter"))
-
-
-def register_view(star: Star, name: str = "store_quarterly_sales") -> str:
-    """CREATE VIEW: expose Q10 as a named temp view; consumers re-sort."""
-    q10_store_quarter_view(star).createOrReplaceTempView(name)
-    return name

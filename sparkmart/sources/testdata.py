@@ -147,11 +147,3 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         dim_date=calendar(spark),
         transactions=tx,
     )
-
-
-def star_from_parquet(spark: SparkSession, root: str) -> Star:
-    """A star that an ETL run wrote (see sparkmart.sources.parquet)."""
-    rd = lambda n: spark.read.parquet(os.path.join(root, n))
-    return Star(fact=rd("fact_sales"), dim_product=rd("dim_product"),
-                dim_store=rd("dim_store"), dim_customer=rd("dim_customer"),
-                dim_date=rd("dim_date"))
