@@ -84,7 +84,8 @@ def make_batch_writer(spark: SparkSession, paths: StreamPaths, customers: DataFr
         rej = e.filter(F.col("reason").isNotNull()).select(
             "order_id", "line_number", "order_date", "product_id", "customer_id", "quantity", "reason")
         rej.write.mode("overwrite").parquet(os.path.join(paths.rejects, f"batch_id={batch_id}"))
-        new_dates = fact.select("order_date").distinct()
+        # dates of valid rows (a re-delivered row's date came in with its first load)
+        new_dates = e.filter(F.col("reason").isNull()).select("order_date").distinct()
         if _exists(spark, paths.dim_date):
             known = (spark.read.parquet(paths.dim_date).filter(F.col("batch_id") != batch_id)
                      .select(F.col("full_date").alias("order_date")))
