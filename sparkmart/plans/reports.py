@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions import (
-    deviation_pct, growth_pct, half_year, money, round2, safe_divide, season,
+    growth_pct, half_year, money, round2, safe_divide, season,
     season_order, spike_label, volatility_pct, year_month,
 )
 from sparkmart.operators.joins import attach, join_bounded
