@@ -154,3 +154,30 @@ def test_event_gap_across_partitions_brute_force(spark, parts):
                 c, m = exp.get((a[3], b[3]), (0, None))
                 exp[(a[3], b[3])] = (c + 1, d if m is None else min(m, d))
     assert got == exp
+
+
+@pytest.mark.parametrize("prune_share,seed_items", [(1.0, 3), (1.0, 50), (0.0, 3), (1.0, 1)])
+def test_top_pair_frequency_matches_brute_force(spark, prune_share, seed_items):
+    import random
+    from sparkmart.operators.affinity import top_pair_frequency
+    rnd = random.Random(7)
+    items = list(range(40))
+    weights = [1.0 / (k + 1) ** 1.2 for k in items]       # skewed popularity
+    rows = []
+    for order in range(400):
+        b = rnd.randrange(12)
+        for it in set(rnd.choices(items, weights, k=rnd.randint(1, 4))):
+            for _ in range(rnd.choice([1, 1, 1, 2])):
+                rows.append((b, it, order))
+    df = spark.createDataFrame(rows, "b int, i long, g int")
+    exp = {}
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[2] != y[2] and x[1] < y[1]:
+                exp[(x[1], y[1])] = exp.get((x[1], y[1]), 0) + 1
+    top = sorted(((-f, p) for p, f in exp.items() if f >= 2))[:5]
+    got = top_pair_frequency(df, "b", "i", "g", 5, min_freq=2, seed_items=seed_items,
+                             prune_share=prune_share, skew_ratio=1.0).collect()
+    got_top = sorted((-r.freq, (r.i1, r.i2)) for r in got)[:5]
+    assert got_top == top
+    assert all(exp[(r.i1, r.i2)] == r.freq for r in got)
