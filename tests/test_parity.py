@@ -26,6 +26,14 @@ def _norm(v):
     return str(v)
 
 
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE",
+          "boolean": "BOOLEAN", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _type(t: str) -> str:
+    return t.upper() if t.startswith("decimal") else _TYPES.get(t, t)
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
@@ -47,6 +55,8 @@ def test_oracle_parity(spark, duck, key):
     df = E.queries()[key](spark, SF)
     rel = duck.sql(E.oracle_sql()[key])
     assert sorted(df.columns) == sorted(rel.columns)
+    stypes = {f.name: _type(f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(rel.columns, rel.fetchall())
 
 
