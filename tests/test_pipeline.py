@@ -58,3 +58,15 @@ def test_pipeline_end_to_end(spark):
     assert star.fact.count() == 400
     q7 = R.q07_revenue_rollup(star).filter(F.col("year") == "Total").first()
     assert q7.total_revenue == star.fact.agg(F.sum("total_sale")).first()[0]
+
+
+def test_pipeline_cli(spark, capsys):
+    src = _files(spark)
+    out = scratch_path(spark, "pipeline-cli")
+    PL.main(["--customers", os.path.join(src, "customers.csv"),
+             "--products", os.path.join(src, "products.csv"),
+             "--transactions", os.path.join(src, "transactions.csv"),
+             "--out", out, "--reports", "--year", "2019"])
+    text = capsys.readouterr().out
+    assert "Total records processed: 401" in text
+    assert "== q02_store_quarter_growth" in text and "== q10_store_quarter_view" in text
