@@ -181,3 +181,28 @@ def test_top_pair_frequency_matches_brute_force(spark, prune_share, seed_items):
     got_top = sorted((-r.freq, (r.i1, r.i2)) for r in got)[:5]
     assert got_top == top
     assert all(exp[(r.i1, r.i2)] == r.freq for r in got)
+
+
+def test_product_affinity_prunes_on_skewed_sales(spark):
+    import random
+    from sparkmart.operators import affinity as A
+    rnd = random.Random(11)
+    prods = {i: (f"P{i}", 10.0, 1, "S", 1) for i in range(1, 61)}
+    weights = [1.0 / k ** 1.5 for k in range(1, 61)]
+    sales, oid = [], 0
+    for day in range(1, 29):
+        for _ in range(30):
+            oid += 1
+            for p in set(rnd.choices(range(1, 61), weights, k=rnd.randint(1, 3))):
+                sales.append((oid, f"2019-02-{day:02d}", p, 1))
+    st = make_star(spark, sales, prods)
+    got = [(r.product1, r.product2, r.times_together) for r in
+           product_affinity(st.fact, st.dim_product).collect()]
+    assert A.LAST_PLAN["plan"] == "pruned"
+    exp = {}
+    for a in sales:
+        for b in sales:
+            if a[1] == b[1] and a[0] != b[0] and a[2] < b[2]:
+                exp[(a[2], b[2])] = exp.get((a[2], b[2]), 0) + 1
+    top = sorted(((-f, i, j) for (i, j), f in exp.items() if f >= 2))[:5]
+    assert got == [(f"P{i}", f"P{j}", -f) for f, i, j in top]
