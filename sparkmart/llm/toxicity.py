@@ -240,8 +240,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
         pdf = pdf.sort_values(["doc_id", "toxic", "text"])
         return pd.DataFrame({"model": [fit(pdf["text"].tolist(), pdf["toxic"].tolist()).to_bytes()]})
 
-    out = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")) \
-        .groupBy(F.lit(1)).applyInPandas(run, "model binary").collect()
+    out = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"),
+                      F.lit(1).alias("one")) \
+        .groupBy("one").applyInPandas(run, "model binary").collect()
     return Model.from_bytes(bytes(out[0].model)) if out else fit([], [])
 
 
