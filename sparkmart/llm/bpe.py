@@ -25,6 +25,7 @@ import base64
 import functools
 import gc
 import hashlib
+from array import array
 from itertools import chain
 
 import ahocorasick
@@ -202,27 +203,37 @@ def decode_documents(encoded, path: str, pattern: str):
     return encoded.withColumn("decoded", decode("ids"))
 
 
-def digests(docs, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"):
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row: the ids are
-    encoded, digested and decoded again in one pass, in batches of rows."""
+def digests(docs, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+            with_ids: bool = False):
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, if asked for) of
+    each row: the ids are encoded, digested and decoded again in one pass."""
     from pyspark.sql import functions as F
 
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
+
     def run(batches):
+        import numpy as np
         import pyarrow as pa
         gc.disable()  # the memo is large and holds no cycles
         codec = _codec(path, pattern)
         name = {i: str(i) for i in codec.bytes_of}.__getitem__
         for batch in batches:
-            ids, counts, a, b = batch.column(0), [], [], []
+            counts, a, b, all_ids = [], [], [], []
             for text in batch.column(1):
                 tokens = codec.encode(text.as_py() or "")
                 counts.append(len(tokens))
                 a.append(hashlib.sha256(",".join(map(name, tokens)).encode()).hexdigest())
                 b.append(hashlib.sha256(codec.decode(tokens)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(a, pa.string()),
-                 pa.array(b, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                if with_ids:
+                    all_ids.append(array("i", tokens))
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(a, pa.string()),
+                       pa.array(b, pa.string())]
+            if with_ids:
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                flat = np.concatenate([np.zeros(0, np.int32), *(np.asarray(x) for x in all_ids)])
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        .mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+                    + ", ids array<int>" * with_ids)

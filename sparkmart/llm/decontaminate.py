@@ -142,3 +142,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         "doc_id", "h", F.col("n_words").cast("long").alias("n_words"), "n_hit",
         F.size("items").cast("long").alias("n_items"), "items",
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns."""
+    bad = written(contamination(docs, items).where("contaminated").select("doc_id", "h").distinct(), "contaminated")
+    same = F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & \
+        (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("x.h"))
+    return docs.alias("d").join(bad.alias("x"), same, "left_anti")
