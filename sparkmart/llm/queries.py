@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import bpe, decontaminate, exact_dedup, rans, simhash, toxicity
+from sparkmart.llm import bpe, decontaminate, exact_dedup, link_trust, rans, simhash, toxicity
 from sparkmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,17 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+#: Fixed by the task.
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+         ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@_query
+def op1_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = link_trust.verdicts(table(spark, sf_dir, "pages"), RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 @_query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
