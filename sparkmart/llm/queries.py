@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import bpe, decontaminate, exact_dedup, link_trust, rans, simhash, toxicity
+from sparkmart.llm import bpe, decontaminate, exact_dedup, link_trust, quotes, rans, simhash, toxicity
 from sparkmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op1_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+@_query
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quotes.conversations(table(spark, sf_dir, "conversations"))
+    return found.withColumn("text_sha256", F.sha2("own_text", 256)).drop("own_text")
+
+
 @_query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
