@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import bpe, decontaminate, exact_dedup, link_trust, quotes, rans, simhash, toxicity
+from sparkmart.llm import (bpe, decontaminate, exact_dedup, link_trust, masked_lm, quotes, rans,
+                            simhash, toxicity)
 from sparkmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +57,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"),
