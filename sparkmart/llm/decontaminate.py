@@ -45,16 +45,20 @@ def words(text: Column) -> Column:
 
 def windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
             id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item_id, n (words), q (words of a shingle), text (of the window), shingles."""
+    """item_id, at (place), n (words), q (words of a shingle), text, shingles."""
     w = items.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
-    each = w.select("item_id", F.explode(F.expr(
-        f"transform(sequence(0, greatest(size(w) - {window}, 0)), i -> slice(w, i + 1, {window}))")).alias("w"))
+    each = w.select("item_id", F.posexplode(F.expr(
+        f"transform(sequence(0, greatest(size(w) - {window}, 0)), i -> slice(w, i + 1, {window}))")).alias("at", "w"))
     n, q = F.size("w"), F.least(F.size("w"), F.lit(shingle))
-    return each.select("item_id", n.alias("n"), q.alias("q"), "w").select(
-        "item_id", "n", "q", F.array_join("w", " ").alias("text"),
+    return each.select("item_id", "at", n.alias("n"), q.alias("q"), "w").select(
+        "item_id", "at", "n", "q", F.array_join("w", " ").alias("text"),
         F.expr("transform(sequence(0, n - q), i -> array_join(slice(w, i + 1, q), ' '))").alias("shingles"))
 
 
+#: Between words, for splitting.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
 def _among(column: str, values: list[str]) -> str:
     # words have no quote or backslash, so they need no escape
     return f"{column} in ({', '.join(map(repr, values))})" if values else "false"
@@ -63,14 +67,18 @@ def _among(column: str, values: list[str]) -> str:
 def _marks(docs: DataFrame, by_size: dict[int, list[str]]) -> DataFrame:
     """doc_id, h, n_words and, for each shingle size q, m<q>: the places (pos)
     of benchmark shingles (s) in the order of the text."""
-    w = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), words(F.col("text")).alias("w"))
+    w = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
+                    F.split(ascii_lower(F.coalesce("text", F.lit(""))), GAP).alias("w"))
+    # a text that begins or ends with a gap has an empty first or last part
+    w = w.select("*", F.expr("if(get(w, 0) = '', 1, 0)").alias("lead"),
+                 F.expr("if(size(w) > 1 and get(w, size(w) - 1) = '', 1, 0)").alias("rest"))
     found = []
     for q, values in by_size.items():
         at = ", ".join(["x", *[f"get(w, i + {k})" for k in range(1, q)]])
         found.append(F.expr(
-            f"filter(transform(w, (x, i) -> named_struct('pos', i, 's', concat_ws(' ', {at}))), "
+            f"filter(transform(w, (x, i) -> named_struct('pos', i - lead, 's', concat_ws(' ', {at}))), "
             f"m -> {_among('m.s', values)})").alias(f"m{q}"))
-    return w.select("doc_id", "h", F.size("w").alias("n_words"), *found)
+    return w.select("doc_id", "h", F.expr("size(w) - lead - rest").alias("n_words"), *found)
 
 
 def _hits(marks: DataFrame, part: DataFrame, q: int) -> DataFrame:
@@ -107,18 +115,21 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     n_hit, n_items, items (their ids as sorted strings), contaminated (a hit,
     and at least one word in ``share`` is hit)."""
     win = written(windows(items, window, shingle), "windows")
+    # neighbouring windows share their shingles, so they go to one block
+    run = F.struct("item_id", F.floor(F.col("at") / max(1, block // 8)).alias("k"))
     unique = win.groupBy("text").agg(F.first("n").alias("n"), F.first("q").alias("q"),
-                                     F.first("shingles").alias("shingles"))
-    total = unique.agg(F.sum(F.size("shingles"))).first()[0] or 0
-    blocks = max(1, -(-total // block))
-    counts, hits = None, []
+                                     F.first("shingles").alias("shingles"), F.min(run).alias("run"))
+    unique = written(unique, "unique-windows")
+    total = unique.select(F.explode("shingles")).distinct().count()
+    blocks = -(-total // block)
+    counts, hits = None if blocks else _marks(docs, {}), []
     for b in range(blocks):
-        part = unique.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        part = unique.where(F.pmod(F.xxhash64("run"), F.lit(blocks)) == b)
         by_size: dict[int, list[str]] = {}
         for r in part.select("q", F.explode("shingles").alias("s")).distinct().collect():
             by_size.setdefault(r.q, []).append(r.s)
         marks = written(_marks(docs, by_size), "marks")
-        counts = counts or marks.select("doc_id", "h", "n_words")
+        counts = marks.select("doc_id", "h", "n_words")
         hits += [_hits(marks, part, q) for q in by_size]
     if not hits:
         none = F.array().cast("array<string>")
