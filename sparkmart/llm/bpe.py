@@ -198,7 +198,7 @@ def decode_documents(encoded, path: str, pattern: str):
     def decode(ids):
         import pandas as pd
         codec = _codec(path, pattern)
-        return pd.Series([codec.decode(x.tolist()) for x in ids])
+        return pd.Series([codec.decode(x) for x in ids])
 
     return encoded.withColumn("decoded", decode("ids"))
 
