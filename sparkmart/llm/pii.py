@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 #: Most documents that a fit reads; windows that it makes of them.
-SAMPLE, WINDOWS = 2_000, 3_000
+SAMPLE, WINDOWS = 2_000, 4_000
 WINDOW, STRIDE = 64, 32
 EMBED, HIDDEN, EPOCHS, BATCH, RATE = 12, 24, 8, 64, 0.01
 #: Windows decoded at once.
@@ -296,6 +296,10 @@ def _runs(tags: np.ndarray):
         at = end
 
 
+#: An address around its mark: what the network finds is cut down to it.
+_SHAPE = re.compile(r"[^\s@]+\s?(?:@|[\[(]\s*at\s*[\])])\s?[^\s@]+?(?:\s?(?:\.|[\[(]\s*dot\s*[\])])\s?[A-Za-z0-9-]+)+", re.I)
+
+
 def _plausible(kind: int, item: str) -> bool:
     """An added span must be able to be of its kind."""
     numbers = re.findall("[0-9]+", item)
@@ -306,13 +310,19 @@ def _plausible(kind: int, item: str) -> bool:
         return 16 <= digits <= 19 and luhn("".join(numbers))
     if kind == 3:
         return 8 <= digits <= 15
-    return TRIGGER.search(item) is not None
+    return kind == 0
 
 
 def _reconciled(text: str, base: list[Span], found: Counter) -> list[Span]:
     taken = [(a, b) for _, a, b in base]
     added = []
-    for (kind, a, b), n in sorted(found.items(), key=lambda x: (-x[1], x[0][1] - x[0][2], x[0][1], x[0][0])):
+    cut: Counter = Counter()
+    for (kind, a, b), n in found.items():
+        if kind:
+            cut[kind, a, b] += n
+        elif m := _SHAPE.search(text, a, b):
+            cut[kind, *m.span()] += n
+    for (kind, a, b), n in sorted(cut.items(), key=lambda x: (-x[1], x[0][1] - x[0][2], x[0][1], x[0][0])):
         if _plausible(kind, text[a:b]) and all(b <= x or y <= a for x, y in taken):
             taken.append((a, b))
             added.append((kind, a, b))
