@@ -36,8 +36,10 @@ from pyspark.sql import functions as F
 
 #: Most labelled rows that a fit reads.
 LABELLED = 6_000
-SPAN, BUCKETS_LOG2, DIM, SMALLEST, LARGEST = 64, 17, 8, 3, 6
-EPOCHS, BATCH, RATE = 5, 256, 0.5
+SPAN, BUCKETS_LOG2, DIM, SMALLEST, LARGEST = 16, 17, 8, 3, 6
+EPOCHS, BATCH, RATE = 3, 512, 0.5
+#: A small sample is gone over more often, in smaller batches, for as many steps.
+STEPS, SMALL_BATCH = 400, 32
 THRESHOLD = 0.7
 #: Characters that are worked off at once, cut between words.
 STEP = 1 << 20
@@ -91,9 +93,9 @@ def _word_hashes(codes: np.ndarray) -> np.ndarray:
     gaps = np.flatnonzero(codes == 32)
     if len(gaps) < 2:
         return np.zeros(0, np.uint64)
-    inside = np.arange(len(codes)) - np.repeat(gaps, np.diff(np.append(gaps, len(codes))))
+    inside = np.arange(gaps[-1]) - np.repeat(gaps[:-1], np.diff(gaps))
     powers = np.cumprod(np.full(int(inside.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
-    return np.add.reduceat(codes.astype(np.uint64) * powers[inside], gaps[:-1])
+    return np.add.reduceat(codes[:gaps[-1]].astype(np.uint64) * powers[inside], gaps[:-1])
 
 
 @dataclass
@@ -185,6 +187,8 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7, epochs: int = EPOCHS)
     odds = np.zeros(len(spans))
     model.softmax[:] = rng.normal(0, 0.1, model.softmax.shape)
     seen_e = np.full(b, 1e-4, np.float32)
+    batch = int(np.clip(len(spans) // 64, SMALL_BATCH, BATCH))
+    epochs = max(epochs, -(-STEPS * batch // len(spans)))
     seen_w, seen_b = np.full((2, DIM), 1e-2, np.float32), np.full(2, 1e-2, np.float32)
     for epoch in range(epochs):
         use = np.ones(len(spans), bool)
@@ -193,8 +197,8 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7, epochs: int = EPOCHS)
             np.maximum.at(top, owner, odds)
             use = (label == 0) | (odds >= top[owner]) | (odds > 0)
         order = rng.permutation(np.flatnonzero(use))
-        for at in range(0, len(order), BATCH):
-            pick = order[at:at + BATCH]
+        for at in range(0, len(order), batch):
+            pick = order[at:at + batch]
             sizes = np.array([len(spans[i]) for i in pick])
             firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             own, place = np.unique(np.concatenate([spans[i] for i in pick]), return_inverse=True)
