@@ -103,16 +103,19 @@ def link(messages: DataFrame) -> DataFrame:
 
 
 def threads(replies: DataFrame) -> DataFrame:
-    """node, root, depth from node, parent (null: begins a thread)."""
+    """node, root, depth from node, parent (null: begins a thread). Each round
+    doubles the reach of those messages only that have not come to a root."""
     walk = written(replies.select("node", F.coalesce("parent", "node").alias("root"),
-                                  F.col("parent").isNotNull().cast("long").alias("depth")), "replies")
-    before = None
-    while (now := walk.agg(F.sum("depth")).first()[0]) != before:
-        up = walk.select(F.col("node").alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_depth"))
-        walk = written(walk.join(up, "root").select("node", F.col("_root").alias("root"),
-                                                    (F.col("depth") + F.col("_depth")).alias("depth")), "replies")
-        before = now
-    return walk
+                                  F.col("parent").isNotNull().cast("long").alias("depth"),
+                                  F.col("parent").isNotNull().alias("open")), "replies")
+    while not walk.where("open").isEmpty():
+        up = walk.select(F.col("node").alias("root"), F.col("root").alias("_root"), F.col("depth").alias("_depth"),
+                         F.col("open").alias("_open"))
+        moved = walk.where("open").join(up, "root").select(
+            "node", F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"),
+            F.col("_open").alias("open"))
+        walk = written(walk.where("not open").unionByName(moved), "replies")
+    return walk.drop("open")
 
 
 def conversations(messages: DataFrame) -> DataFrame:
