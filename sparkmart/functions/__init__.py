@@ -7,6 +7,6 @@ from sparkmart.functions.dates import (  # noqa: F401
     standardize_date, year_month,
 )
 from sparkmart.functions.numeric import (  # noqa: F401
-    deviation_pct, growth_pct, money, parse_int, parse_price, round2,
+    deviation_pct, growth_pct, money, parse_int, parse_long, parse_price, round2,
     safe_divide, spike_label, volatility_pct, zscore,
 )

@@ -76,6 +76,12 @@ def parse_int(text: Column | str) -> Column:
     return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
 
 
+def parse_long(text: Column | str) -> Column:
+    """As ``parse_int``, within the range of a long; ids are read with it."""
+    t = F.trim(_c(text))
+    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("long"))
+
+
 def parse_price(text: Column | str) -> Column:
     """'1299.99$' -> 1299.99 as decimal(10,2); NULL when unparsable."""
     t = F.regexp_replace(F.trim(_c(text)), r"[\$\"]", "")

@@ -33,7 +33,7 @@ def build_dim_product(products: DataFrame, stores: DataFrame, ordinal: list[str]
     p = dedupe_first_wins(p.select("product_id", "product_name", "product_price", "supplier_id",
                                    "supplier_name", "store_name", *ordinal),
                           ["product_id"], ordinal)
-    j = p.join(F.broadcast(stores.select("store_name", "store_id")), "store_name", "left")
+    j = p.join(stores.select("store_name", "store_id"), "store_name", "left")
     return j.select("product_id", "product_name", "product_price", "supplier_id",
                     "supplier_name", "store_id")
 

@@ -1,9 +1,7 @@
 """Join operators for the star.
 
-Broadcast policy: a dimension is broadcast only when its size has a proven
-bound that does not grow with the fact (stores: one per nation; dates: one per
-calendar day of the allowed range; per-store totals: one per store). Every
-other join is left to the planner, which broadcasts only under
+Broadcast policy: no dimension is forced to broadcast (stores come from user
+files and have no bound). The planner broadcasts only under
 ``spark.sql.autoBroadcastJoinThreshold`` from (runtime, with AQE) statistics
 and otherwise shuffles (sort-merge), so the same plan holds at any scale.
 """
@@ -17,8 +15,9 @@ from pyspark.sql import functions as F
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join to a side of proven bounded size (broadcast, no shuffle of ``big``)."""
-    return big.join(F.broadcast(small), on, how)
+    """Join to a side that is small as a rule. Sizes known from files or, with
+    AQE, at run time decide on a broadcast; nothing is forced."""
+    return big.join(small, on, how)
 
 
 def join_dim(df: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:

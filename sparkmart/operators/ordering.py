@@ -68,5 +68,11 @@ def rank_within_groups(df: DataFrame, group: Sequence[str], order: Sequence[Colu
     offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
         Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    out = local.join(offs.select("__pid", *group, "__off"), ["__pid", *group])
-    return out.withColumn(name, (F.col("__off") + F.col("__r")).cast("int")).drop("__pid", "__r", "__off")
+    # null group keys are a group like any other
+    to = [f"__g{i}" for i in range(len(group))]
+    offs = offs.select(F.col("__pid").alias("__q"), *[F.col(c).alias(t) for c, t in zip(group, to)], "__off")
+    same = F.col("__pid") == F.col("__q")
+    for c, t in zip(group, to):
+        same = same & F.col(c).eqNullSafe(F.col(t))
+    return local.join(offs, same).withColumn(name, (F.col("__off") + F.col("__r")).cast("int")) \
+        .drop("__pid", "__r", "__off", "__q", *to)

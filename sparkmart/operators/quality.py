@@ -20,25 +20,35 @@ def valid_tuple(has_customer: Column | str = "has_customer",
                 has_product: Column | str = "has_product") -> Column:
     """The loader's tuple check: keys set, non-negative total and both
     dimension sides found; quantity must also be positive (the fact CHECK)."""
+    failed = F.lit(False)
+    for _, fails in _rules(has_customer, has_product):
+        failed = failed | fails
+    return ~failed
+
+
+def _rules(has_customer: Column | str = "has_customer", has_product: Column | str = "has_product",
+           date_from: str | None = None, date_to: str | None = None) -> list[tuple[str, Column]]:
+    """(reason, fails) in the order they are tested; never null, so a missing
+    value fails its rule."""
     c = lambda x: F.col(x) if isinstance(x, str) else x
-    return _key_set("date_id") & _key_set("customer_id") & _key_set("product_id") & \
-        _key_set("store_id") & \
-        (F.coalesce(F.col("total_sale"), F.lit(-1)) >= 0) & \
-        (F.coalesce(F.col("quantity"), F.lit(0)) > 0) & \
-        F.coalesce(c(has_customer), F.lit(False)) & F.coalesce(c(has_product), F.lit(False))
+    no = lambda x: ~F.coalesce(x, F.lit(False))
+    d = F.col("order_date")
+    dated = d.isNotNull() if date_from is None else \
+        d.between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date"))
+    return [("unknown customer_id", no(c(has_customer)) | ~_key_set("customer_id")),
+            ("unknown product_id", no(c(has_product)) | ~_key_set("product_id")),
+            ("quantity not positive", no(F.col("quantity") > 0)),
+            ("order_date out of range", no(dated)),
+            ("no store", ~_key_set("store_id")),
+            ("unit_price not positive", no(F.col("product_price") > 0))]
 
 
 def reject_reason(date_from: str, date_to: str) -> Column:
     """First failing rule of an enriched transaction, NULL when valid."""
-    d = F.col("order_date")
-    return (F.when(F.col("parse_reason").isNotNull(), F.col("parse_reason"))
-            .when(~F.col("has_customer"), F.lit("unknown customer_id"))
-            .when(~F.col("has_product"), F.lit("unknown product_id"))
-            .when(F.col("quantity") <= 0, F.lit("quantity not positive"))
-            .when((d < F.lit(date_from).cast("date")) | (d > F.lit(date_to).cast("date")),
-                  F.lit("order_date out of range"))
-            .when(~_key_set("store_id"), F.lit("no store"))
-            .when(F.col("product_price") <= 0, F.lit("unit_price not positive")))
+    reason = F.when(F.col("parse_reason").isNotNull(), F.col("parse_reason"))
+    for name, fails in _rules(date_from=date_from, date_to=date_to):
+        reason = reason.when(fails, F.lit(name))
+    return reason
 
 
 def enrich_with_flags(tx: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.functions.dates import standardize_date
-from sparkmart.functions.numeric import parse_int, parse_price
+from sparkmart.functions.numeric import parse_int, parse_long, parse_price
 from sparkmart.operators.dedupe import with_file_ordinal
 from sparkmart.schemas import CUSTOMERS_CSV, PRODUCTS_CSV, TRANSACTIONS_CSV
 
@@ -32,7 +32,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
     """customer_id, customer_name, gender (+ file ordinal, reject reason)."""
     raw = with_file_ordinal(_read(spark, path, CUSTOMERS_CSV))
-    cid = parse_int("customer_id").cast("long")
+    cid = parse_long("customer_id")
     return raw.select(
         cid.alias("customer_id"),
         F.trim("customer_name").alias("customer_name"),
@@ -46,8 +46,8 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
     """Quote-aware product lines; ``$`` stripped from the price; the file's
     store id is kept as ``source_store_id`` but not used as the key."""
     raw = with_file_ordinal(_read(spark, path, PRODUCTS_CSV))
-    pid = parse_int("product_id").cast("long")
-    sid = parse_int("supplier_id").cast("long")
+    pid = parse_long("product_id")
+    sid = parse_long("supplier_id")
     price = parse_price("product_price")
     clean = lambda c: F.trim(F.regexp_replace(F.col(c), '"', ""))
     return raw.select(
@@ -56,7 +56,7 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
         price.alias("product_price"),
         sid.alias("supplier_id"),
         clean("supplier_name").alias("supplier_name"),
-        parse_int("source_store_id").alias("source_store_id"),
+        parse_long("source_store_id").alias("source_store_id"),
         clean("store_name").alias("store_name"),
         "_file", "_block", "_row",
         F.when(F.col(_CORRUPT).isNotNull(), "bad field count")
@@ -73,10 +73,10 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_transaction_fields(raw: DataFrame) -> DataFrame:
-    oid = parse_int("order_id").cast("long")
-    pid = parse_int("product_id").cast("long")
+    oid = parse_long("order_id")
+    pid = parse_long("product_id")
     qty = parse_int("quantity")
-    cid = parse_int("customer_id").cast("long")
+    cid = parse_long("customer_id")
     d = standardize_date("order_date")
     bad_count = F.col(_CORRUPT).isNotNull() if _CORRUPT in raw.columns else F.lit(False)
     extra = [c for c in ("_file", "_block", "_row") if c in raw.columns]

@@ -13,11 +13,11 @@ from sparkmart.session import scratch_path
 def _files(spark):
     root = scratch_path(spark, "pipeline-in")
     os.makedirs(root, exist_ok=True)
-    stores = ["Tech Haven", "Photo World", "Game Zone", "Electro Mart"]
+    stores = ["North Quay", "Mill Lane", "Old Dock", "Hill Top"]
     with open(os.path.join(root, "products.csv"), "w") as fh:
         fh.write("productID,productName,productPrice,supplierID,supplierName,storeID,storeName\n")
         for i in range(1, 102):
-            sup = '"Amazon.com, Inc."' if i % 10 == 0 else f"Supplier {i % 7}"
+            sup = '"Kettle, Pan and Co."' if i % 10 == 0 else f"Supplier {i % 7}"
             fh.write(f"{i},Product {i},{10 + i}.99$,{i % 7},{sup},{i % 4 + 1},{stores[i % 4]}\n")
     with open(os.path.join(root, "customers.csv"), "w") as fh:
         fh.write("customer_id,customer_name,gender\n")

@@ -40,6 +40,6 @@ def test_store_share_uses_no_window(spark):
     assert "Window " not in p and "Window(" not in p
 
 
-def test_pair_keys_are_packed_and_partitioned(spark):
+def test_pairs_are_partitioned_before_the_sum(spark):
     p = _plan(E.queries()["q06_product_affinity"](spark, SF))
-    assert "__pair" in p and "REPARTITION_BY_NUM" in p
+    assert "hashpartitioning(i1" in p and "REPARTITION_BY_NUM" in p

@@ -12,7 +12,8 @@ def test_t4_t5_rejects(spark):
     tx = spark.createDataFrame(
         [(1, dt.date(2019, 1, 5), 10, 100, 2), (2, dt.date(2019, 1, 5), 99, 100, 2),
          (3, dt.date(2019, 1, 5), 10, 999, 2), (4, dt.date(2019, 1, 5), 10, 100, 0),
-         (5, dt.date(2019, 1, 5), 10, 100, -1), (6, dt.date(2030, 1, 1), 10, 100, 1)],
+         (5, dt.date(2019, 1, 5), 10, 100, -1), (6, dt.date(2030, 1, 1), 10, 100, 1),
+         (7, dt.date(2019, 1, 5), 10, 100, None), (8, None, 10, 100, 2)],
         "order_id long, order_date date, product_id long, customer_id long, quantity int")
     cust = spark.createDataFrame([(100,)], "customer_id long")
     prod = spark.createDataFrame([(10, Decimal("5.00"), 1)],
@@ -25,4 +26,5 @@ def test_t4_t5_rejects(spark):
     assert got[2][0] == "unknown product_id" and got[3][0] == "unknown customer_id"
     assert got[4][0] == "quantity not positive" and got[5][0] == "quantity not positive"
     assert got[6][0] == "order_date out of range"
-    assert not any(got[k][1] for k in (2, 3, 4, 5))
+    assert got[7][0] == "quantity not positive" and got[8][0] == "order_date out of range"
+    assert not any(got[k][1] for k in (2, 3, 4, 5, 7, 8))
