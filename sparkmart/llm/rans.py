@@ -22,6 +22,7 @@ whose block fails its checksum is an error, never a wrong result.
 from __future__ import annotations
 
 import functools
+import gc
 import re
 import zlib
 
@@ -182,7 +183,7 @@ class _Ids:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # a blank or a line end always ends a word and is part of none
-        get, out, unknown, new = self.chunks.get, [], [], {}
+        get, known, out, unknown = self.chunks.get, self.words, [], []
         for k, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out.append([self._library(text).tobytes()])
@@ -193,17 +194,28 @@ class _Ids:
             at = -1
             for _ in range(parts.count(None)):
                 at = parts.index(None, at + 1)
-                chunk = chunks[at]
-                words = _WORDS(chunk.lower()) if _PLAIN(chunk) else None
-                unknown.append((k, at, chunk, words))
-                new.update((w, None) for w in words or () if w not in self.words)
+                unknown.append((k, at, chunks[at]))
+        fresh = dict.fromkeys(x[2] for x in unknown)  # each chunk is worked off once
+        new: dict[str, None] = {}
+        for chunk in fresh:
+            if _PLAIN(chunk):
+                low = chunk.lower()
+                fresh[chunk] = words = (low,) if low.isalpha() else _WORDS(low)
+                for w in words:
+                    if w not in known:
+                        new[w] = None
         if new:
             self._learn(list(new))
-        for k, at, chunk, words in unknown:
-            part = b"".join([self.words[w] for w in words]) if words is not None else self._library(chunk).tobytes()
-            out[k][at] = part
+        for chunk, words in fresh.items():
+            if words is None:
+                part = self._library(chunk).tobytes()
+            else:
+                part = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
+            fresh[chunk] = part
             if len(chunk) <= 64 and len(self.chunks) < MEMO:
                 self.chunks[chunk] = part
+        for k, at, chunk in unknown:
+            out[k][at] = fresh[chunk]
         if len(self.words) > MEMO:
             self.words.clear()
         return [b"".join(parts) for parts in out]
@@ -233,6 +245,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc
     def run(batches):
         import pyarrow as pa
         import zstandard
+        gc.disable()  # the memo is large and holds no cycles
         tokenizer, end = _tokenizer(path), np.array([end_id], "<u4").tobytes()
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
