@@ -2,22 +2,26 @@
 
 Every word of a document is predicted from the ``REACH`` words on both sides of it;
 the sum of the conditional log-probabilities is the document's score (its pseudo-
-log-likelihood). A word's probability is that of its class, which the network
-gives, times its share of the class, which the corpus counts give. The most frequent
-words are classes of their own; the others are classed by their last two letters.
+log-likelihood). The network gives the probability of each word in up to three steps,
+each conditioned on the window: of its class, of its group in the class and of its
+place in the group. The most frequent words are classes of their own; the others are
+classed by their last two letters. No two numbered words share group and place, so
+the window can tell any two apart; a place has one vector in all groups of a class.
+Groups and places start from the corpus counts, which the network corrects.
 
 Counting, training and scoring all read every document:
 
 1. Words are counted over the corpus (partial counts per task, summed by a shuffle).
-   The ``VOCABULARY`` most frequent ones get numbers; rarer words of a class share
-   its remaining mass evenly among the distinct ones counted.
-2. Documents become word numbers, written to the shared folder.
+   The ``VOCABULARY`` most frequent ones get numbers; the rarer words of a class have
+   one number, and each has its share of it by its own count.
+2. Documents become word numbers, written to the shared folder with the rarer words.
 3. The network (an embedding for each place of the window, tanh, softmax over the
    classes) is trained in numpy, data-parallel: the corpus is split by hash into
    ``ROUNDS`` parts; in each round every task starts from the shared weights, goes
    once over its share of the part, and the results are averaged by weight in a tree
    of groups. So each document is learnt once and the work follows the input.
-4. Every task scores its documents with the shared weights.
+4. Every task scores its documents with the shared weights. The shares of rarer words
+   come from the table of all counts, in a join on the word.
 
 What tasks are sent is of fixed size: the numbered words and the weights. Updates
 don't depend on the order of tasks, but on how files are split.
@@ -42,6 +46,8 @@ from sparkmart.llm.common import written
 
 #: Words with numbers; words that are classes; classes by ending.
 VOCABULARY, OWN, ENDINGS = 60_000, 40, 24
+#: Groups of a class of words.
+GROUPS = 64
 #: Words with an embedding, buckets for the others, its size, words on each side.
 INPUTS, BUCKETS, DIM, REACH = 2_048, 64, 16, 2
 ROUNDS, BATCH, RATE = 2, 8_192, 0.1
@@ -62,19 +68,27 @@ def ending(word: str) -> int:
 @dataclass
 class Lexicon:
     """Numbered words, and by number (the last ``ENDINGS`` numbers are rare
-    words, by ending): the input, the class and the log of its share of the class."""
+    words, by ending): the input, the class, the group and the place in it, and the
+    log of one occurrence's share (0 but for rare words). By class of an ending: the
+    logs of the groups' shares by the counts, and in each group of the places'."""
 
     number: dict[str, int]
     input: np.ndarray
     klass: np.ndarray
+    group: np.ndarray
+    place: np.ndarray
     share: np.ndarray
+    groups: np.ndarray
+    places: np.ndarray
 
-    def numbers(self, text: str | None) -> np.ndarray:
-        each, top = words(text), len(self.number)
+    def numbers(self, text: str | None) -> tuple[np.ndarray, list[str]]:
+        """The numbers of a text's words, and its rare words."""
+        each, top, rare = words(text), len(self.number), []
         found = list(map(self.number.get, each))
         if None in found:
+            rare = [x for n, x in zip(found, each) if n is None]
             found = [top + ending(x) if n is None else n for n, x in zip(found, each)]
-        return np.array(found, np.uint16)
+        return np.array(found, np.uint16), rare
 
 
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -103,64 +117,100 @@ def lexicon(counts: DataFrame, vocabulary: int = VOCABULARY) -> Lexicon:
     """From the counts of all words; the driver holds ``vocabulary`` of them."""
     top = [(r.word, r.n) for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()]
     by_ending = F.pmod(F.crc32(F.encode(F.expr("right(word, 2)"), "utf-8")), F.lit(ENDINGS)).alias("e")
-    total, kinds = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for r in counts.groupBy(by_ending).agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
-        total[r.e], kinds[r.e] = r.n, r.k
+    rest = np.zeros(ENDINGS)
+    for r in counts.groupBy(by_ending).agg(F.sum("n").alias("n")).collect():
+        rest[r.e] = r.n
     n = len(top)
     klass = np.array([i if i < OWN else OWN + ending(w) for i, (w, _) in enumerate(top)]
                      + [OWN + e for e in range(ENDINGS)], np.int64)
-    own = np.array([c for _, c in top], np.float64)
-    rest, rare = total.copy(), kinds.copy()
-    for i, (w, c) in enumerate(top):
-        e = ending(w)
-        rest[e] -= c
-        rare[e] -= 1
+    for w, c in top:
+        rest[ending(w)] -= c
     # one more rare word stands for those never counted
-    mass = np.zeros(CLASSES)
-    np.add.at(mass, klass[:n], own)
-    mass[OWN:] += rest + 1
-    share = np.concatenate([own, (rest + 1) / (rare + 1)]) / mass[klass]
+    own = np.array([c for _, c in top] + list(rest + 1), np.float64)
+    group, place = np.zeros(n + ENDINGS, np.int64), np.zeros(n + ENDINGS, np.int64)
+    for e in range(ENDINGS):
+        its = np.flatnonzero(klass == OWN + e)
+        group[its], place[its] = np.arange(len(its)) % GROUPS, np.arange(len(its)) // GROUPS
+    places = np.zeros((ENDINGS, GROUPS, int(place.max()) + 1))
+    its = np.flatnonzero(klass >= OWN)
+    places[klass[its] - OWN, group[its], place[its]] = own[its]
+    groups = places.sum(2)
+    with np.errstate(divide="ignore"):
+        logs = [np.log(x).astype(np.float32) for x in (
+            groups / groups.sum(1, keepdims=True), places / np.maximum(groups, 1)[:, :, None])]
+    share = np.concatenate([np.zeros(n), -np.log(rest + 1)])
     inputs = np.array([i if i < INPUTS else INPUTS + zlib.crc32(w[-2:].encode("utf-8", "replace")) % BUCKETS
                        for i, (w, _) in enumerate(top)] + [INPUTS + e % BUCKETS for e in range(ENDINGS)], np.int64)
-    return Lexicon({w: i for i, (w, _) in enumerate(top)}, inputs, klass, np.log(share))
+    return Lexicon({w: i for i, (w, _) in enumerate(top)}, inputs, klass, group, place, share, *logs)
 
 
 def number_documents(docs: DataFrame, lex: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, part (a hash, for the rounds), numbers (16-bit, compressed)."""
+    """row (unique), doc_id, part (a hash, for the rounds), numbers (16-bit,
+    compressed), rare (the words without a number)."""
     shared = docs.sparkSession.sparkContext.broadcast(lex)  # of a fixed size
 
     def run(batches):
         import pyarrow as pa
         lex = shared.value
         for batch in batches:
+            each = [lex.numbers(t.as_py()) for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array([zlib.compress(lex.numbers(t.as_py()).tobytes(), 1) for t in batch.column(2)], pa.binary())],
-                names=["doc_id", "part", "numbers"])
+                [batch.column(0), batch.column(1), batch.column(2),
+                 pa.array([zlib.compress(x.tobytes(), 1) for x, _ in each], pa.binary()),
+                 pa.array([rare for _, rare in each], pa.list_(pa.string()))],
+                names=["row", "doc_id", "part", "numbers", "rare"])
 
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("part"),
-                       text.alias("text")).mapInArrow(run, "doc_id long, part long, numbers binary")
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.xxhash64(F.coalesce(text, F.lit(""))).alias("part"), text.alias("text")) \
+        .mapInArrow(run, "row long, doc_id long, part long, numbers binary, rare array<string>")
+
+
+def rare_shares(numbered: DataFrame, counts: DataFrame) -> DataFrame:
+    """row, log_n: the sum of the logs of the counts of a document's rare words;
+    those never counted count once. Decimals, so that the order doesn't matter."""
+    return numbered.select("row", F.explode("rare").alias("word")).join(counts, "word") \
+        .groupBy("row").agg(F.sum(F.log("n").cast("decimal(20,12)")).cast("double").alias("log_n"))
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """In place."""
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
+def _log_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-softmax of each row at one of its columns; overwrites ``z``."""
+    z -= z.max(1, keepdims=True)
+    out = z[np.arange(len(at)), at].copy()
+    np.exp(z, out=z)
+    return out - np.log(z.sum(1))
 
 
 @dataclass
 class Network:
     """``embed``: a vector for each place of the window and input; ``hidden``:
-    its bias; ``out``, ``bias``: the softmax over the classes."""
+    its bias; ``out``, ``bias``: the softmax over the classes; ``groups``,
+    ``places``: for each class of an ending, the softmaxes over both."""
 
     embed: np.ndarray
     hidden: np.ndarray
     out: np.ndarray
     bias: np.ndarray
+    groups: np.ndarray
+    places: np.ndarray
 
     @classmethod
-    def start(cls, seed: int = 5) -> Network:
+    def start(cls, places: int, seed: int = 5) -> Network:
         rng = np.random.default_rng(seed)
         return cls(rng.normal(0, 0.1, (2 * REACH, PAD + 1, DIM)).astype(np.float32), np.zeros(DIM, np.float32),
-                   rng.normal(0, 0.1, (CLASSES, DIM)).astype(np.float32), np.zeros(CLASSES, np.float32))
+                   rng.normal(0, 0.1, (CLASSES, DIM)).astype(np.float32), np.zeros(CLASSES, np.float32),
+                   np.zeros((ENDINGS, GROUPS, DIM), np.float32), np.zeros((ENDINGS, places, DIM), np.float32))
 
     def arrays(self) -> list[np.ndarray]:
-        return [self.embed, self.hidden, self.out, self.bias]
+        return [self.embed, self.hidden, self.out, self.bias, self.groups, self.places]
 
     def to_bytes(self, weight: float = 1.0) -> bytes:
         f = io.BytesIO()
@@ -170,7 +220,7 @@ class Network:
     @staticmethod
     def from_bytes(raw: bytes) -> tuple[Network, float]:
         with np.load(io.BytesIO(raw)) as z:
-            return Network(*(z[f"arr_{i}"] for i in range(4))), float(z["arr_4"])
+            return Network(*(z[f"arr_{i}"] for i in range(6))), float(z["arr_6"])
 
     def _forward(self, around: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         a = self.hidden + self.embed[0][around[0]]
@@ -181,16 +231,28 @@ class Network:
         z += self.bias
         return a, z
 
-    def log_classes(self, around: list[np.ndarray], klass: np.ndarray) -> np.ndarray:
-        """log p(class | window) of each place."""
-        _, z = self._forward(around)
-        z -= z.max(1, keepdims=True)
-        at = z[np.arange(len(klass)), klass].copy()
-        np.exp(z, out=z)
-        return at - np.log(z.sum(1))
+    def _endings(self, a: np.ndarray, numbers: np.ndarray, lex: Lexicon):
+        """For each ending: the rows of its words, their states, groups, places,
+        and the logits over the groups and over the places of the own group."""
+        klass = lex.klass[numbers]
+        order = np.argsort(klass, kind="stable")
+        cuts = np.searchsorted(klass[order], np.arange(OWN, CLASSES + 1))
+        for e in range(ENDINGS):
+            if len(rows := order[cuts[e]:cuts[e + 1]]):
+                h, g, p = a[rows], lex.group[numbers[rows]], lex.place[numbers[rows]]
+                yield e, rows, h, g, p, h @ self.groups[e].T + lex.groups[e], h @ self.places[e].T + lex.places[e][g]
+
+    def log_words(self, around: list[np.ndarray], numbers: np.ndarray, lex: Lexicon) -> np.ndarray:
+        """log p(number | window) of each place."""
+        a, z = self._forward(around)
+        logs = _log_at(z, lex.klass[numbers])
+        for _, rows, _, g, p, zg, zp in self._endings(a, numbers, lex):
+            logs[rows] += _log_at(zg, g) + _log_at(zp, p)
+        return logs
 
     def learner(self) -> Learner:
-        return Learner(self, [np.full_like(a, 1e-3) for a in self.arrays()])
+        # words of a group come seldom, so what they change first must not be held back
+        return Learner(self, [np.full_like(a, 1e-3 if k < 4 else 1e-6) for k, a in enumerate(self.arrays())])
 
 
 @dataclass
@@ -198,20 +260,25 @@ class Learner:
     net: Network
     seen: list[np.ndarray]
 
-    def step(self, around: list[np.ndarray], klass: np.ndarray) -> None:
+    def step(self, around: list[np.ndarray], numbers: np.ndarray, lex: Lexicon) -> None:
         """One Adagrad step on the mean log-loss of a batch."""
-        n, net = len(klass), self.net
+        n, net = len(numbers), self.net
         a, p = net._forward(around)
-        p -= p.max(1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(n), klass] -= 1
+        _softmax(p)[np.arange(n), lex.klass[numbers]] -= 1
         p /= n
-        da = (p @ net.out) * (1 - a * a)
+        da = p @ net.out
+        dg, dp = np.zeros_like(net.groups), np.zeros_like(net.places)
+        for e, rows, h, *at, zg, zp in net._endings(a, numbers, lex):
+            for z, k, w, d in ((zg, at[0], net.groups, dg), (zp, at[1], net.places, dp)):
+                _softmax(z)[np.arange(len(rows)), k] -= 1
+                z /= n
+                da[rows] += z @ w[e]
+                d[e] = z.T @ h
+        da *= 1 - a * a
         de = np.zeros_like(net.embed)
         for k, x in enumerate(around):
             np.add.at(de[k], x, da)
-        for w, s, g in zip(net.arrays(), self.seen, (de, da.sum(0), p.T @ a, p.sum(0))):
+        for w, s, g in zip(net.arrays(), self.seen, (de, da.sum(0), p.T @ a, p.sum(0), dg, dp)):
             s += g * g
             w -= RATE * g / np.sqrt(s)
 
@@ -252,12 +319,11 @@ def _train_round(numbered: DataFrame, lex, net: bytes) -> DataFrame:
         for batch in batches:
             for some in _some(batch.column(0)):
                 around, numbers, _ = _places(some, lex.value)
-                klass = lex.value.klass[numbers]
-                order = rng.permutation(len(klass))
+                order = rng.permutation(len(numbers))
                 for at in range(0, len(order), BATCH):
                     pick = order[at:at + BATCH]
-                    learner.step([x[pick] for x in around], klass[pick])
-                seen += len(klass)
+                    learner.step([x[pick] for x in around], numbers[pick], lex.value)
+                seen += len(numbers)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([own.to_bytes(seen)], pa.binary())],
                                              names=["task", "model"])
@@ -287,15 +353,15 @@ def _average(models: DataFrame) -> bytes | None:
 
 def train(numbered: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Network:
     shared = numbered.sparkSession.sparkContext.broadcast(lex)
-    net = Network.start().to_bytes()
+    net = Network.start(lex.places.shape[2]).to_bytes()
     for r in range(rounds):
         part = numbered.where(F.pmod("part", F.lit(rounds)) == r)
         net = _average(_train_round(part, shared, net)) or net
     return Network.from_bytes(net)[0]
 
 
-def score_numbers(numbered: DataFrame, lex: Lexicon, net: Network) -> DataFrame:
-    """doc_id, n_words, log_prob of each numbered document."""
+def score_numbers(numbered: DataFrame, counts: DataFrame, lex: Lexicon, net: Network) -> DataFrame:
+    """doc_id, n_words, log_prob of each numbered document. ``counts``: of all words."""
     shared = numbered.sparkSession.sparkContext.broadcast((lex, net))
 
     def run(batches):
@@ -303,28 +369,31 @@ def score_numbers(numbered: DataFrame, lex: Lexicon, net: Network) -> DataFrame:
         lex, net = shared.value
         for batch in batches:
             totals, lengths = [], []
-            for some in _some(batch.column(1)):
+            for some in _some(batch.column(2)):
                 around, numbers, sizes = _places(some, lex)
                 logs = lex.share[numbers]
                 for at in range(0, len(numbers), BATCH):
                     piece = slice(at, at + BATCH)
-                    logs[piece] += net.log_classes([x[piece] for x in around], lex.klass[numbers[piece]])
+                    logs[piece] += net.log_words([x[piece] for x in around], numbers[piece], lex)
                 sums = np.concatenate([[0.0], np.cumsum(logs)])
                 ends = np.cumsum(sizes)
                 totals.append(sums[ends] - sums[ends - sizes])
                 lengths.append(sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *lengths])),
-                 pa.array(np.concatenate([np.zeros(0), *totals]))], names=["doc_id", "n_words", "log_prob"])
+                [batch.column(0), batch.column(1), pa.array(np.concatenate([np.zeros(0, np.int64), *lengths])),
+                 pa.array(np.concatenate([np.zeros(0), *totals]))], names=["row", "doc_id", "n_words", "log_prob"])
 
-    return numbered.select("doc_id", "numbers").mapInArrow(run, "doc_id long, n_words long, log_prob double")
+    s = numbered.select("row", "doc_id", "numbers").mapInArrow(run, "row long, doc_id long, n_words long, log_prob double")
+    return s.join(rare_shares(numbered, counts), "row", "left").select(
+        "doc_id", "n_words", (F.col("log_prob") + F.coalesce("log_n", F.lit(0.0))).alias("log_prob"))
 
 
 def pseudo_likelihood(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_words, log_prob and mean_log_prob (null without words) of each
     row of ``docs``, under a model of ``docs``."""
-    lex = lexicon(written(count_words(docs), "word-counts"), vocabulary)
+    counts = written(count_words(docs), "word-counts")
+    lex = lexicon(counts, vocabulary)
     numbered = written(number_documents(docs, lex), "word-numbers")
     net = train(numbered, lex, rounds)
-    s = score_numbers(numbered, lex, net)
+    s = score_numbers(numbered, counts, lex, net)
     return s.withColumn("mean_log_prob", F.try_divide(F.col("log_prob"), F.col("n_words")))

@@ -1,5 +1,11 @@
 """Masked pseudo-likelihood: every row scored, empty and repeated texts, empty tables."""
 
+import math
+import zlib
+
+import pytest
+
+from sparkmart.llm import masked_lm as M
 from sparkmart.llm.masked_lm import pseudo_likelihood
 
 SCHEMA = "doc_id long, text string, part string"
@@ -17,3 +23,49 @@ def test_every_row_is_scored(spark):
 
 def test_empty(spark):
     assert pseudo_likelihood(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def scored(spark, texts, asked, vocabulary):
+    """{text: log_prob} of ``asked`` under a model of ``texts``; the counts and the lexicon."""
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], SCHEMA)
+    counts = M.written(M.count_words(docs), "word-counts")
+    lex = M.lexicon(counts, vocabulary)
+    net = M.train(M.written(M.number_documents(docs, lex), "word-numbers"), lex)
+    rows = spark.createDataFrame([(k, t, "x") for k, t in enumerate(asked)], SCHEMA)
+    got = M.score_numbers(M.written(M.number_documents(rows, lex), "word-numbers"), counts, lex, net).collect()
+    return {asked[r.doc_id]: r.log_prob for r in got}, {r.word: r.n for r in counts.collect()}, lex
+
+
+FREQUENT = " ".join(f"f{i}" for i in range(45))
+
+
+def test_window_tells_words_of_one_ending_apart(spark):
+    # after the 40th word, of one ending and equally frequent
+    texts = [f"{FREQUENT} alpha qqing {FREQUENT} beta zzing {FREQUENT}"] * 40
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], SCHEMA)
+    lex = M.lexicon(M.count_words(docs))
+    raw = lambda t: zlib.compress(lex.numbers(t)[0].tobytes(), 1)
+    around, numbers, _ = M._places([raw(t) for t in texts], lex)
+    learner = M.Network.start(lex.places.shape[2]).learner()
+    for _ in range(200):
+        learner.step(around, numbers, lex)
+
+    def log_prob(text):
+        a, n, _ = M._places([raw(f"f43 f44 {text} f0 f1")], lex)
+        return learner.net.log_words(a, n, lex)[3]
+
+    assert lex.klass[lex.number["qqing"]] == lex.klass[lex.number["zzing"]] >= M.OWN
+    assert log_prob("alpha qqing") > log_prob("alpha zzing") + 0.5
+    assert log_prob("beta zzing") > log_prob("beta qqing") + 0.5
+
+
+def test_words_without_a_number_have_their_own_counts(spark):
+    texts = [FREQUENT] * 40 + ["aaing"] * 30 + ["bbing"] + [f"r{i}" for i in range(300)]
+    every = sorted({w for t in texts for w in t.split()})
+    got, counts, lex = scored(spark, texts, [*every, "ccing"], 45)
+    assert "aaing" not in lex.number and counts["aaing"] == 30
+    assert got["aaing"] - got["bbing"] == pytest.approx(math.log(30), abs=1e-5)
+    assert got["ccing"] == pytest.approx(got["bbing"], abs=1e-5)
+    # one more word of each ending stands for those never counted
+    unseen = {M.ending(w): math.exp(got[w]) / counts[w] for w in every if w not in lex.number}
+    assert len(unseen) <= M.ENDINGS and sum(math.exp(got[w]) for w in every) + sum(unseen.values()) <= 1 + 1e-5
