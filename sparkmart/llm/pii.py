@@ -14,8 +14,9 @@ plain and rewritten, put into text of the sample. Numbers that only look like ca
 Whole texts are decoded in windows of ``WINDOW`` characters that overlap by half.
 All labelled spans have a digit, an ``@`` or a bracketed "at"; a span without one is
 never accepted, so windows without one need no decoding. Windows are decoded one by
-one, then reconciled over the whole text: a span that a window's edge may have cut is
-left to the next window; of spans that overlap, the one found by more windows stays,
+one, then reconciled over the whole text: a span that a window's edge may have cut, and
+that no other window holds, is decoded again in a window around it, which is widened
+until the span ends inside; of spans that overlap, the one found by more windows stays,
 then the longer, then the earlier; spans that overlap a base span, or can't be of their
 kind (an address of three numbers, a card with a wrong check digit), are dropped.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import io
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -251,6 +253,7 @@ class Tagger:
     def spans(self, texts: list[str]) -> list[list[Span]]:
         """The spans of each whole text, base ones and added ones."""
         found: list[Counter] = [Counter() for _ in texts]
+        cuts: list[list[Span]] = [[] for _ in texts]
         rows, owner = [], []
 
         def work():
@@ -258,7 +261,9 @@ class Tagger:
             for (k, start, size, total), t in zip(owner, tags):
                 for kind, a, b in _runs(t[:size]):
                     cut = (a == 0 and start > 0) or (b == size and start + size < total)
-                    if not cut:
+                    if cut:
+                        cuts[k].append((kind, start + a, start + b))
+                    else:
                         found[k][kind, start + a, start + b] += 1
             rows.clear()
             owner.clear()
@@ -278,8 +283,57 @@ class Tagger:
                     work()
         if rows:
             work()
+        self._widen(texts, found, [(k, *c, STRIDE) for k in range(len(texts)) for c in _joined(cuts[k], found[k])])
         return [_reconciled(t, base_spans(t), c) for t, c in zip(texts, found)]
 
+    def _widen(self, texts: list[str], found: list[Counter], open_: list[tuple]) -> None:
+        """Add to ``found`` what is cut: text, kind, start, end, windows that saw
+        it, characters to read on both sides, which double each time."""
+        while open_:
+            by_width: dict[int, list[tuple]] = {}
+            for x in open_:
+                _, _, a, b, _, more = x
+                by_width.setdefault(-(-(b - a + 2 * more) // STRIDE) * STRIDE, []).append(x)
+            open_ = []
+            for width, group in sorted(by_width.items()):
+                step = max(1, AT_ONCE * WINDOW // width)
+                for at in range(0, len(group), step):
+                    rows, owner = [], []
+                    for k, kind, a, b, n, more in group[at:at + step]:
+                        start = max(0, min(a - (width - (b - a)) // 2, len(texts[k]) - width))
+                        part = _codes(texts[k][start:start + width])
+                        rows.append(np.concatenate([part, np.full(width - len(part), PAD)]))
+                        owner.append((k, kind, a, b, n, more, start, len(part)))
+                    for (k, kind, a, b, n, more, start, size), t in zip(owner, self.decode(np.stack(rows))):
+                        for c, x, y in _runs(t[:size]):
+                            if c != kind or start + x >= b or start + y <= a:
+                                continue
+                            if (x == 0 and start > 0) or (y == size and start + size < len(texts[k])):
+                                open_.append((k, kind, min(a, start + x), max(b, start + y), n, 2 * more))
+                            else:
+                                found[k][kind, start + x, start + y] += n
+
+
+def _joined(cuts: list[Span], found: Counter) -> list[tuple]:
+    """kind, start, end, windows: the cut spans that no found one holds, those that
+    overlap or touch as one."""
+    out: list[tuple] = []
+    whole: dict[int, list[tuple[int, int]]] = {}
+    for kind, a, b in sorted(found, key=lambda x: x[1]):
+        # of spans by start, only those that end later than all before
+        if not (w := whole.setdefault(kind, [])) or b > w[-1][1]:
+            w.append((a, b))
+    for kind, a, b in sorted(cuts):
+        w = whole.get(kind, [])
+        i = bisect_right(w, a, key=lambda x: x[0]) - 1
+        if i >= 0 and w[i][1] >= b:
+            continue
+        if out and out[-1][0] == kind and a <= out[-1][2]:
+            out[-1] = (kind, out[-1][1], max(b, out[-1][2]), out[-1][3] + 1)
+        else:
+            out.append((kind, a, b, 1))
+    return out
+
 
 def _runs(tags: np.ndarray):
     """(kind, start, end) of the spans of a window."""

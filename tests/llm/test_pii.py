@@ -76,6 +76,36 @@ def test_added_spans_and_reconciliation(tagger):
     assert tagger.spans(["no data in these words", "", "It is 12 o clock, 7 days"]) == [[], [], []]
 
 
+class Marker(P.Tagger):
+    """Tags each window rightly: all but accented letters is an address."""
+
+    def decode(self, x):
+        y = np.where((x == 97) | (x == P.PAD), 0, 2)
+        y[:, 1:][(y[:, 1:] > 0) & (y[:, :-1] == 0)] = 1
+        return y
+
+
+@pytest.mark.parametrize("item", [
+    "john.doe [at] example [dot] com", "john.smith [at] mail [dot] example [dot] com",
+    "john.smith [at] " + " [dot] ".join(["department", "faculty", "university", "example", "com"]),
+    "john.smith [at] " + " [dot] ".join(["department"] * 30)])
+def test_long_spans_are_whole_at_every_offset(item):
+    # a window's edge falls on every place of spans of 31, 44, 76 and 516 characters
+    texts = ["é" * n + item + "é" * m for n in range(P.STRIDE, 3 * P.STRIDE) for m in (0, 5, 200)]
+    got = Marker({}).spans(texts)
+    for t, spans in zip(texts, got):
+        assert len(spans) == 1 and [t[a:b] for _, a, b in spans] == [item]
+
+
+def test_network_finds_long_addresses_at_every_offset(tagger):
+    item = "john.smith.miller [at] organisation [dot] example"
+    pad = "some words go here and there " * 9
+    texts = [pad[:200 + n] + " please write to " + item + " today or some other day" for n in range(64)]
+    for t, spans in zip(texts, tagger.spans(texts)):
+        got = [s for s in spans if s[0] == 0]
+        assert len(got) == 1 and "organisation" in t[got[0][1]:got[0][2]]
+
+
 def test_base_spans_stay(tagger):
     r = random.Random(3)
     for _ in range(200):
