@@ -60,8 +60,8 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _among(column: str, values: list[str]) -> str:
-    # words have no quote or backslash, so they need no escape
-    return f"{column} in ({', '.join(map(repr, values))})" if values else "false"
+    # words have no quote or backslash, so they stand in quotes as they are
+    return f"{column} in ({', '.join(f"'{x}'" for x in values)})" if values else "false"
 
 
 def _marks(docs: DataFrame, by_size: dict[int, list[str]]) -> DataFrame:

@@ -66,3 +66,14 @@ def test_empty_tables_and_filter(spark, docs):
     kept = D.drop_contaminated(docs(d), items)
     assert kept.columns == docs(d).columns
     assert sorted((r.doc_id or -1) for r in kept.collect()) == sorted((x[0] or -1) for x in brute(d, i) if not x[5])
+
+
+@pytest.mark.parametrize("sign", ["\x80", "\x85", "\xa0", "\xad", "\u200b", "\u2028", "\ufeff", "\U000e0001", "😀"])
+def test_signs_in_words(spark, docs, sign):
+    long = " ".join(f"w{i}" + sign * (i == 7) + "x" for i in range(13))
+    i = [(1, long), (2, f"a{sign}b c"), (3, sign)]
+    d = [(1, "before " + long + " after"), (2, f"A{sign}B. c"), (3, f"d {sign} e"), (4, "xa0 xad x80 x85"), (5, "a b c")]
+    items = spark.createDataFrame(i, "item_id long, text string")
+    got = D.contamination(docs(d), items).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) for r in got), key=str)
+    assert got == brute(d, i) and [x[5] for x in got] == [True, True, True, False, False]
