@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import (bpe, decontaminate, exact_dedup, link_trust, masked_lm, pii, quotes,
-                            rans, simhash, toxicity)
+from sparkmart.llm import (bpe, decontaminate, exact_dedup, fill_middle, link_trust, masked_lm, pii,
+                            quotes, rans, simhash, toxicity)
 from sparkmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,8 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(hit.n_hit, 0) AS n_hit, coalesce(
        coalesce(hit.n_hit, 0) > 0 AND 20 * coalesce(hit.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id
 """
+
+
+@_query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
