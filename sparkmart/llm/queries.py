@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import (bpe, decontaminate, exact_dedup, fill_middle, link_trust, masked_lm, pii,
+from sparkmart.llm import (align_tokens, bpe, decontaminate, exact_dedup, fill_middle, link_trust, masked_lm, pii,
                             quotes, rans, simhash, toxicity)
 from sparkmart.llm.common import table
 
@@ -130,6 +130,13 @@ FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.do
 """
 
 
+@_query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens.cross_align(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("byte_bpe_50k.json"),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @_query
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
