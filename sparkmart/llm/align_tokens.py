@@ -1,13 +1,16 @@
 """Alignment of two tokenizers' tokens over the same bytes.
 
-Tokenizer A (byte-level BPE, tokenizers library) reads a space and the text,
-tokenizer B (pieces with a space mark, sentencepiece) the text, before which it
-puts the space itself. Each document is tokenised whole by both. Where a token
-of A and one of B both begin with a space at one byte offset, the tokens before
-them end together: these anchors cut the document into windows of token ids,
-mostly a word each. Within a window the byte offsets where tokens of both end cut
-it into groups; the groups of a window depend on its ids only, so they are
-remembered by the two id tuples.
+Tokenizer A (byte-level BPE) reads a space and the text, tokenizer B (pieces with
+a space mark, sentencepiece) the text, before which it puts the space itself.
+Each document is tokenised whole by both. Where a token of A and one of B both
+begin with a space at one byte offset, the tokens before them end together: these
+anchors cut the document into windows of token ids, mostly a word each. Within a
+window the byte offsets where tokens of both end cut it into groups; the groups of
+a window depend on its ids only, so they are remembered by the two id tuples.
+
+A's file is one of the tokenizers library. Its merges come in the order of the ids
+they make (checked when it is read), so the tiktoken library reads the same
+vocabulary as ranks and gives the same ids at a third of the time.
 
 The last tokens of a group are linked (their byte ranges end together; no token
 is empty, so there is one such pair for each group). Links are counted over the
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import os
+import json
 from array import array
 
 import numpy as np
@@ -37,12 +40,14 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import written
 
 #: Windows a worker remembers before it starts anew, and the tokens of the longest.
-MEMO, LONGEST = 100_000, 32
+MEMO, LONGEST = 150_000, 32
 #: Code points of text that are tokenised at once (one longer text alone).
-BATCH = 1 << 20
+BATCH = 1 << 18
 
-ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, a_ids array<int>, b_ids array<int>, "
-           "a_sizes array<int>, b_sizes array<int>, groups_sha256 string")
+#: Ids and sizes are packed: little-endian unsigned integers of 16 or 32 bits.
+PACKED = ("doc_id long, n_a long, n_b long, n_groups long, a_ids binary, b_ids binary, "
+          "a_sizes binary, b_sizes binary, groups_sha256 string")
+SIZE = np.dtype("<u4")
 
 
 def _byte_of() -> dict[str, int]:
@@ -54,21 +59,25 @@ def _byte_of() -> dict[str, int]:
 
 
 class Vocabulary:
-    """The bytes of both tokenizers' tokens by id."""
+    """Both tokenizers, and the bytes of their tokens by id."""
 
-    def __init__(self, a_path: str, b_path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    def __init__(self, a_path: str, b_path: str, pattern: str):
         import sentencepiece
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        byte_of = _byte_of()
-        ids = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(ids.values()) + 1)
+        import tiktoken
+        with open(a_path, encoding="utf-8") as f:
+            spec = json.load(f)
+        byte_of, ids = _byte_of(), spec["model"]["vocab"]
+        special = {t["content"] for t in spec["added_tokens"]}
+        self.a_bytes = [b""] * len(ids)
         for token, i in ids.items():
-            self.a_bytes[i] = bytes(map(byte_of.__getitem__, token)) if set(token) <= byte_of.keys() else token.encode()
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+            self.a_bytes[i] = token.encode() if token in special else bytes(map(byte_of.__getitem__, token))
+        for k, pair in enumerate(spec["model"]["merges"]):
+            if ids["".join(pair if isinstance(pair, list) else pair.split(" "))] != 256 + k:
+                raise ValueError(f"{a_path}: the merges don't come in the order of ids")
+        ranks = {self.a_bytes[i]: i for token, i in ids.items() if token not in special}
+        self.a = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
 
     @property
@@ -78,82 +87,134 @@ class Vocabulary:
         byte may be a piece of B as well."""
         return sum(map(len, self.b_bytes)) + 2 * sum(map(len, self.a_bytes))
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [(x.ids, y) for x, y in zip(a, self.b.encode(texts, num_threads=1))]
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, list[int]]]:
+        return [(self.a.encode_to_numpy(" " + t), b) for t, b in zip(texts, self.b.encode(texts, num_threads=1))]
 
 
-class Aligner:
-    def __init__(self, vocabulary: Vocabulary, memo: int = MEMO):
-        self.vocabulary, self.most = vocabulary, memo
-        self.memo: dict[tuple, tuple] = {}
-        v = vocabulary
-        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (v.a_bytes, v.b_bytes))
-        self.a_space, self.b_space = (np.array([x[:1] == b" " for x in t]) for t in (v.a_bytes, v.b_bytes))
-
-    def _window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[tuple, tuple, str]:
-        """Tokens of A and of B in each group, and the groups as text."""
-        a_sizes, b_sizes, groups = [], [], []
+def _packing(n: int) -> np.dtype:
+    return np.dtype("<u2" if n <= 1 << 16 else "<u4")
+
+
+class Windows(dict):
+    """Groups of windows by their packed id tuples, worked out when first asked
+    for: sizes of the groups in tokens of A and of B (packed), and their text."""
+
+    def __init__(self, vocabulary: Vocabulary, most: int = MEMO):
+        super().__init__()
+        self.most = most
+        self.a_type, self.b_type = (_packing(len(t)) for t in (vocabulary.a_bytes, vocabulary.b_bytes))
+        self.a_len, self.b_len = ([len(x) for x in t] for t in (vocabulary.a_bytes, vocabulary.b_bytes))
+        self.names = [str(i) for i in range(max(len(self.a_len), len(self.b_len)))]
+        self.sizes = [SIZE.type(i).tobytes() for i in range(LONGEST + 1)]
+
+    def __missing__(self, key: tuple[bytes, bytes]) -> tuple[bytes, bytes, str]:
+        a, b = array(self.a_type.char, key[0]), array(self.b_type.char, key[1])
+        if len(a) + len(b) > LONGEST:
+            return self._groups(a, b, [SIZE.type(i).tobytes() for i in range(max(len(a), len(b)) + 1)])
+        if len(self) >= self.most:
+            self.clear()
+        found = self[key] = self._groups(a, b, self.sizes)
+        return found
+
+    def _groups(self, a: array, b: array, sizes: list[bytes]) -> tuple[bytes, bytes, str]:
+        a_names, b_names = [self.names[i] for i in a], [self.names[i] for i in b]
+        if len(a) == 1 or len(b) == 1:  # one group, as both end together
+            return sizes[len(a)], sizes[len(b)], ",".join(a_names) + "|" + ",".join(b_names)
+        a_sizes, b_sizes, groups, b_len = [], [], [], self.b_len
         i = j = i0 = j0 = ahead = 0  # ahead: bytes by which A's tokens lead B's
-        a_bytes, b_bytes = self.vocabulary.a_bytes, self.vocabulary.b_bytes
-        while i < len(a):
-            ahead += len(a_bytes[a[i]])
+        for size in map(self.a_len.__getitem__, a):
+            ahead += size
             i += 1
-            while ahead > 0 and j < len(b):
-                ahead -= len(b_bytes[b[j]])
+            while ahead > 0:
+                ahead -= b_len[b[j]]
                 j += 1
             if ahead == 0:
-                a_sizes.append(i - i0)
-                b_sizes.append(j - j0)
-                groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
+                a_sizes.append(sizes[i - i0])
+                b_sizes.append(sizes[j - j0])
+                groups.append(",".join(a_names[i0:i]) + "|" + ",".join(b_names[j0:j]))
                 i0, j0 = i, j
         if i0 != len(a) or j0 != len(b):
             raise ValueError("the tokens of a window don't end together")
-        return tuple(a_sizes), tuple(b_sizes), ";".join(groups)
-
-    def _anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        """For each window, the place of its first token of A and of B, and the
-        ends. Every anchor is an end of both tokenisations: its offset is where
-        a token of each begins."""
-        a_at, b_at = (np.concatenate([[0], np.cumsum(size[x])]) for size, x in ((self.a_size, a), (self.b_size, b)))
-        both = np.intersect1d(a_at[:-1][self.a_space[a]], b_at[:-1][self.b_space[b]], assume_unique=True)
-        cuts = np.concatenate([[0], both[both > 0], a_at[-1:]])
-        return np.searchsorted(a_at, cuts).tolist(), np.searchsorted(b_at, cuts).tolist()
-
-    def align(self, a: list[int], b: list[int]) -> tuple[array, array, str]:
-        """Tokens of A and of B in each group, and the digest of the groups."""
-        a_sizes, b_sizes, texts, memo = array("i"), array("i"), [], self.memo
-        a_cut, b_cut = self._anchors(np.array(a), np.array(b))
-        i, j = a_cut[0], b_cut[0]
-        for i1, j1 in zip(a_cut[1:], b_cut[1:]):
-            key = tuple(a[i:i1]), tuple(b[j:j1])
-            found = memo.get(key)
-            if found is None:
-                found = self._window(*key)
-                if i1 - i + j1 - j <= LONGEST:
-                    if len(memo) >= self.most:
-                        memo.clear()
-                    memo[key] = found
-            a_sizes.extend(found[0])
-            b_sizes.extend(found[1])
-            texts.append(found[2])
-            i, j = i1, j1
-        return a_sizes, b_sizes, hashlib.sha256(";".join(texts).encode()).hexdigest()
-
-    def documents(self, texts: list[str | None]):
-        """(a ids, b ids, a sizes, b sizes, digest) of each text."""
-        v, none = self.vocabulary, ([], [], array("i"), array("i"), "")
-        for text, (a, b) in zip(texts, v.encode([t or "" for t in texts])):
-            raw = b" " + (text or "").encode()
-            if not text or b"".join([v.a_bytes[i] for i in a]) != raw or b"".join([v.b_bytes[i] for i in b]) != raw:
-                yield none
-            else:
-                yield a, b, *self.align(a, b)
+        return b"".join(a_sizes), b"".join(b_sizes), ";".join(groups)
+
+
+class _Side:
+    """What is known of one tokenizer's tokens by id, as arrays."""
+
+    def __init__(self, tokens: list[bytes], packing: np.dtype):
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.space = np.array([t[:1] == b" " for t in tokens])
+        self.bytes, self.at = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(self.size) - self.size
+        self.packing = packing
+
+    def offsets(self, ids: np.ndarray) -> np.ndarray:
+        """Where each token begins, and where the last one ends."""
+        return np.concatenate([[0], np.cumsum(self.size[ids])])
+
+    def spelt(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the tokens, one after the other."""
+        size, at = self.size[ids], self.offsets(ids)
+        return self.bytes[np.repeat(self.at[ids] - at[:-1], size) + np.arange(at[-1])]
+
+
+class Aligner:
+    def __init__(self, vocabulary: Vocabulary, memo: int = MEMO):
+        self.vocabulary, self.windows = vocabulary, Windows(vocabulary, memo)
+        self.a = _Side(vocabulary.a_bytes, self.windows.a_type)
+        self.b = _Side(vocabulary.b_bytes, self.windows.b_type)
+
+    def _faithful(self, side: _Side, ids: list[np.ndarray], raw: list[bytes]) -> np.ndarray:
+        """Which texts the tokens give back byte by byte."""
+        right = np.array([side.size[x].sum() == len(r) for x, r in zip(ids, raw)])
+        kept = np.flatnonzero(right)
+        if len(kept):
+            wrong = side.spelt(np.concatenate([ids[k] for k in kept])) != \
+                np.frombuffer(b"".join([raw[k] for k in kept]), np.uint8)
+            first = np.cumsum([0, *(len(raw[k]) for k in kept)])[:-1]
+            right[kept] = ~np.logical_or.reduceat(wrong, first)
+        return right
+
+    def _anchors(self, a: np.ndarray, b: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each window of the documents that begin at ``starts``: its byte
+        offset, the place of its first token of A and of B; last come the ends.
+        Every anchor is an end of both tokenisations: its offset is where a
+        token of each begins."""
+        a_at, b_at = self.a.offsets(a), self.b.offsets(b)
+        both = np.intersect1d(a_at[:-1][self.a.space[a]], b_at[:-1][self.b.space[b]], assume_unique=True)
+        cuts = np.union1d(both, np.append(starts, a_at[-1]))
+        return cuts, np.searchsorted(a_at, cuts), np.searchsorted(b_at, cuts)
+
+    def documents(self, texts: list[str | None]) -> list[tuple[bytes, bytes, bytes, bytes, str]]:
+        """The packed ids of A and of B, tokens of each in the groups (packed),
+        and the digest of the groups, of each text."""
+        out = [(b"", b"", b"", b"", "")] * len(texts)
+        places = [k for k, t in enumerate(texts) if t]
+        pairs = [(x, np.array(y)) for x, y in self.vocabulary.encode([texts[k] for k in places])]
+        raw = [b" " + texts[k].encode() for k in places]
+        if pairs:
+            right = self._faithful(self.a, [p[0] for p in pairs], raw) & self._faithful(self.b, [p[1] for p in pairs], raw)
+            places, pairs, raw = ([x for x, ok in zip(xs, right) if ok] for xs in (places, pairs, raw))
+        if not pairs:
+            return out
+        a, b = (np.concatenate(x) for x in zip(*pairs))
+        starts = np.cumsum([0, *map(len, raw)])
+        cuts, a_cut, b_cut = self._anchors(a, b, starts[:-1])
+        a_raw, b_raw = a.astype(self.a.packing).tobytes(), b.astype(self.b.packing).tobytes()
+        a_width, b_width = self.a.packing.itemsize, self.b.packing.itemsize
+        x, y = (a_cut * a_width).tolist(), (b_cut * b_width).tolist()
+        keys = [(a_raw[i:i1], b_raw[j:j1]) for i, i1, j, j1 in zip(x, x[1:], y, y[1:])]
+        found = list(map(self.windows.__getitem__, keys))
+        window = np.searchsorted(cuts, starts).tolist()
+        for place, w, w1 in zip(places, window, window[1:]):
+            a_sizes, b_sizes, groups = zip(*found[w:w1])
+            out[place] = (a_raw[x[w]:x[w1]], b_raw[y[w]:y[w1]], b"".join(a_sizes), b"".join(b_sizes),
+                          hashlib.sha256(";".join(groups).encode()).hexdigest())
+        return out
 
 
 @functools.lru_cache(maxsize=1)
-def _aligner(a_path: str, b_path: str) -> Aligner:
-    return Aligner(Vocabulary(a_path, b_path))
+def _aligner(a_path: str, b_path: str, pattern: str) -> Aligner:
+    return Aligner(Vocabulary(a_path, b_path, pattern))
 
 
 def _runs(texts, most: int):
@@ -169,40 +230,60 @@ def _runs(texts, most: int):
         yield first, len(texts)
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
     """For each row the ids of both tokenizers, how many of each a group has, in
-    order, and the digest of the groups (``a1,a2|b1;a3|b2,b3``)."""
+    order (all packed; ``unpacked`` makes arrays), and the digest of the groups
+    (``a1,a2|b1;a3|b2,b3``)."""
     def run(batches):
         import pyarrow as pa
-        aligner = _aligner(a_path, b_path)
-
-        def lists(parts):
-            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int32), *(np.asarray(p, np.int32) for p in parts)])
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-
+        aligner = _aligner(a_path, b_path, pattern)
+        widths = (aligner.windows.a_type.itemsize, aligner.windows.b_type.itemsize, SIZE.itemsize)
         for batch in batches:
             for first, last in _runs(batch.column(1), BATCH):
                 part = batch.slice(first, last - first)
                 columns = list(zip(*aligner.documents(part.column(1).to_pylist())))
-                counts = [pa.array([len(x) for x in columns[k]], pa.int64()) for k in (0, 1, 2)]
+                counts = [pa.array([len(x) // w for x in columns[k]], pa.int64()) for k, w in enumerate(widths)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *counts, *map(lists, columns[:4]), pa.array(columns[4], pa.string())],
-                    names=[c.split()[0] for c in ALIGNED.split(", ")])
+                    [part.column(0), *counts, *(pa.array(c, pa.binary()) for c in columns[:4]),
+                     pa.array(columns[4], pa.string())], names=[c.split()[0] for c in PACKED.split(", ")])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, ALIGNED)
+        .mapInArrow(run, PACKED)
+
+
+def _flat(column, n: int) -> np.ndarray:
+    """The integers of a packed column, ``n`` in all, one row after the other."""
+    raw = b"".join(column.to_pylist())
+    return np.frombuffer(raw, f"<u{len(raw) // n}" if n else SIZE).astype(np.int64)
+
+
+def unpacked(aligned: DataFrame) -> DataFrame:
+    """The rows of ``align`` with arrays in place of packed columns."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            out = []
+            for name, kind in zip(batch.schema.names, batch.schema.types):
+                if kind in (pa.binary(), pa.large_binary()):
+                    n = batch.column({"a_ids": "n_a", "b_ids": "n_b"}.get(name, "n_groups")).to_numpy()
+                    flat = _flat(batch.column(name), int(n.sum())).astype(np.int32)
+                    out.append(pa.ListArray.from_arrays(np.cumsum([0, *n]).astype(np.int32), pa.array(flat)))
+                else:
+                    out.append(batch.column(name))
+            yield pa.RecordBatch.from_arrays(out, names=batch.schema.names)
+
+    return aligned.mapInArrow(run, PACKED.replace("binary", "array<int>"))
 
 
 def _links(batch) -> tuple[np.ndarray, np.ndarray]:
     """The id pair (A high, B low) of each link, and where each row's links begin."""
+    n = {c: batch.column(c).to_numpy() for c in ("n_a", "n_b", "n_groups")}
     ends = []
-    for ids, sizes in (("a_ids", "a_sizes"), ("b_ids", "b_sizes")):
-        flat = batch.column(ids).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        ends.append(flat[np.cumsum(batch.column(sizes).flatten().to_numpy(zero_copy_only=False).astype(np.int64)) - 1]
-                    if len(flat) else flat)
-    first = np.concatenate([[0], np.cumsum(batch.column("n_groups").to_numpy(zero_copy_only=False))])
-    return ends[0] << 32 | ends[1], first.astype(np.int64)
+    for ids, sizes, count in (("a_ids", "a_sizes", "n_a"), ("b_ids", "b_sizes", "n_b")):
+        size = _flat(batch.column(sizes), int(n["n_groups"].sum()))
+        ends.append(_flat(batch.column(ids), int(n[count].sum()))[np.cumsum(size) - 1])
+    return ends[0] << 32 | ends[1], np.concatenate([[0], np.cumsum(n["n_groups"])]).astype(np.int64)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -218,7 +299,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
             pairs, counts = merged, total
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
 
-    return aligned.select("n_groups", "a_ids", "b_ids", "a_sizes", "b_sizes") \
+    return aligned.select("n_a", "n_b", "n_groups", "a_ids", "b_ids", "a_sizes", "b_sizes") \
         .mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -256,7 +337,8 @@ def scored(aligned: DataFrame, counts: DataFrame, most_pairs: int) -> DataFrame:
                                    "count_sum long, groups_sha256 string")
 
 
-def cross_align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cross_align(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
     """Each document's alignment with the counts of its links over all documents."""
-    aligned = written(align(docs, a_path, b_path, id_col, text_col), "aligned-tokens")
-    return scored(aligned, pair_counts(aligned), Vocabulary(a_path, b_path).most_pairs)
+    aligned = written(align(docs, a_path, b_path, pattern, id_col, text_col), "aligned-tokens")
+    return scored(aligned, pair_counts(aligned), Vocabulary(a_path, b_path, pattern).most_pairs)

@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import (align_tokens, bpe, decontaminate, exact_dedup, fill_middle, link_trust, masked_lm, pii,
-                            quotes, rans, simhash, toxicity)
+from sparkmart.llm import (align_tokens, bpe, decontaminate, exact_dedup, fill_middle, link_trust,
+                            masked_lm, pii, quotes, rans, simhash, toxicity)
 from sparkmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,7 +134,8 @@ FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.do
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens.cross_align(table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("byte_bpe_50k.json"),
-                                    public_tokenizers.path("piece_bpe_32k.model"))
+                                    public_tokenizers.path("piece_bpe_32k.model"),
+                                    public_tokenizers.PATTERN)
 
 
 @_query

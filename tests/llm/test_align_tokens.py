@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sparkmart.llm import align_tokens
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+PATTERN = public_tokenizers.PATTERN
 
 
 @pytest.fixture(scope="module")
@@ -78,7 +79,7 @@ def _rows(df):
 
 
 def _check(docs, plain, rows, parts=2):
-    got = align_tokens.cross_align(docs(rows).repartition(parts), A, B)
+    got = align_tokens.cross_align(docs(rows).repartition(parts), A, B, PATTERN)
     assert got.columns == COLUMNS
     assert _rows(got) == sorted(plain(rows), key=repr)
 
@@ -105,28 +106,42 @@ def test_repeated_rows_null_ids_and_ties(docs, plain):
 
 
 def test_sizes_cover_the_tokens(docs):
-    r = align_tokens.align(docs([(1, "An unforgettable  café\n")]), A, B).first()
+    packed = align_tokens.align(docs([(1, "An unforgettable  café\n"), (2, None)]), A, B, PATTERN)
+    r, empty = align_tokens.unpacked(packed).orderBy("doc_id").collect()
+    assert empty.a_ids == empty.b_sizes == [] and empty.groups_sha256 == ""
     assert sum(r.a_sizes) == len(r.a_ids) == r.n_a and sum(r.b_sizes) == len(r.b_ids) == r.n_b
     assert len(r.a_sizes) == len(r.b_sizes) == r.n_groups
 
 
 def test_small_memo_and_windows(docs, plain):
     """The groups don't depend on what is remembered or where anchors lie."""
-    aligner = align_tokens.Aligner(align_tokens.Vocabulary(A, B), memo=2)
+    aligner = align_tokens.Aligner(align_tokens.Vocabulary(A, B, PATTERN), memo=2)
     texts = ["one two three one two three", "antidisestablishmentarianism", "x" * 200]
-    got = [(len(a), len(b), len(s), d) for a, b, s, _, d in aligner.documents(texts)]
+    got = [(len(a) // 2, len(b) // 2, len(s) // 4, d) for a, b, s, _, d in aligner.documents(texts)]
     assert got == [(r[1], r[2], r[3], r[7]) for r in plain(list(enumerate(texts)))]
-    assert len(aligner.memo) <= 2
+    assert len(aligner.windows) <= 2
 
 
 def test_empty_table_and_clashing_columns(spark, docs, plain):
-    assert align_tokens.cross_align(docs([]), A, B).collect() == []
+    assert align_tokens.cross_align(docs([]), A, B, PATTERN).collect() == []
     clash = spark.createDataFrame([(5, "a b c", 1, "f", 2)],
                                   "doc_id long, text string, n_a int, groups_sha256 string, pair int")
-    assert _rows(align_tokens.cross_align(clash, A, B)) == plain([(5, "a b c")])
+    assert _rows(align_tokens.cross_align(clash, A, B, PATTERN)) == plain([(5, "a b c")])
 
 
 def test_too_many_pairs_are_refused(spark, docs):
-    aligned = align_tokens.align(docs([(1, "two words")]), A, B)
+    aligned = align_tokens.align(docs([(1, "two words")]), A, B, PATTERN)
     with pytest.raises(ValueError):
         align_tokens.scored(aligned, spark.range(5).select(F.col("id").alias("pair"), F.lit(1).alias("n")), 3)
+
+
+def test_every_character_has_the_ids_of_the_tokenizers_library():
+    """The vocabulary read as ranks splits and merges as the library does."""
+    from tokenizers import Tokenizer
+    library, v = Tokenizer.from_file(A), align_tokens.Vocabulary(A, B, PATTERN)
+    library.encode_special_tokens = True
+    points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 20_000):
+        texts = [f" a{chr(c)}b 1{chr(c)}2 {chr(c)}{chr(c)} {chr(c)} .{chr(c)}," for c in points[at:at + 20_000]]
+        for t, x in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False)):
+            assert v.a.encode_to_numpy(t).tolist() == x.ids, t
