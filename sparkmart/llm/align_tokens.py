@@ -31,7 +31,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
-from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,14 +39,16 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import written
 
 #: Windows a worker remembers before it starts anew, and the tokens of the longest.
-MEMO, LONGEST = 150_000, 32
+MEMO, LONGEST = 60_000, 32
 #: Code points of text that are tokenised at once (one longer text alone).
-BATCH = 1 << 18
+BATCH = 1 << 19
 
 #: Ids and sizes are packed: little-endian unsigned integers of 16 or 32 bits.
 PACKED = ("doc_id long, n_a long, n_b long, n_groups long, a_ids binary, b_ids binary, "
           "a_sizes binary, b_sizes binary, groups_sha256 string")
 SIZE = np.dtype("<u4")
+#: Odd factors that tell places within a window apart in its hash.
+_ODD = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _byte_of() -> dict[str, int]:
@@ -91,61 +92,14 @@ class Vocabulary:
         return [(self.a.encode_to_numpy(" " + t), b) for t, b in zip(texts, self.b.encode(texts, num_threads=1))]
 
 
-def _packing(n: int) -> np.dtype:
-    return np.dtype("<u2" if n <= 1 << 16 else "<u4")
-
-
-class Windows(dict):
-    """Groups of windows by their packed id tuples, worked out when first asked
-    for: sizes of the groups in tokens of A and of B (packed), and their text."""
-
-    def __init__(self, vocabulary: Vocabulary, most: int = MEMO):
-        super().__init__()
-        self.most = most
-        self.a_type, self.b_type = (_packing(len(t)) for t in (vocabulary.a_bytes, vocabulary.b_bytes))
-        self.a_len, self.b_len = ([len(x) for x in t] for t in (vocabulary.a_bytes, vocabulary.b_bytes))
-        self.names = [str(i) for i in range(max(len(self.a_len), len(self.b_len)))]
-        self.sizes = [SIZE.type(i).tobytes() for i in range(LONGEST + 1)]
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> tuple[bytes, bytes, str]:
-        a, b = array(self.a_type.char, key[0]), array(self.b_type.char, key[1])
-        if len(a) + len(b) > LONGEST:
-            return self._groups(a, b, [SIZE.type(i).tobytes() for i in range(max(len(a), len(b)) + 1)])
-        if len(self) >= self.most:
-            self.clear()
-        found = self[key] = self._groups(a, b, self.sizes)
-        return found
-
-    def _groups(self, a: array, b: array, sizes: list[bytes]) -> tuple[bytes, bytes, str]:
-        a_names, b_names = [self.names[i] for i in a], [self.names[i] for i in b]
-        if len(a) == 1 or len(b) == 1:  # one group, as both end together
-            return sizes[len(a)], sizes[len(b)], ",".join(a_names) + "|" + ",".join(b_names)
-        a_sizes, b_sizes, groups, b_len = [], [], [], self.b_len
-        i = j = i0 = j0 = ahead = 0  # ahead: bytes by which A's tokens lead B's
-        for size in map(self.a_len.__getitem__, a):
-            ahead += size
-            i += 1
-            while ahead > 0:
-                ahead -= b_len[b[j]]
-                j += 1
-            if ahead == 0:
-                a_sizes.append(sizes[i - i0])
-                b_sizes.append(sizes[j - j0])
-                groups.append(",".join(a_names[i0:i]) + "|" + ",".join(b_names[j0:j]))
-                i0, j0 = i, j
-        if i0 != len(a) or j0 != len(b):
-            raise ValueError("the tokens of a window don't end together")
-        return b"".join(a_sizes), b"".join(b_sizes), ";".join(groups)
-
-
 class _Side:
     """What is known of one tokenizer's tokens by id, as arrays."""
 
-    def __init__(self, tokens: list[bytes], packing: np.dtype):
+    def __init__(self, tokens: list[bytes]):
         self.size = np.array([len(t) for t in tokens], np.int64)
         self.space = np.array([t[:1] == b" " for t in tokens])
         self.bytes, self.at = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(self.size) - self.size
-        self.packing = packing
+        self.packing = np.dtype("<u2" if len(tokens) <= 1 << 16 else "<u4")
 
     def offsets(self, ids: np.ndarray) -> np.ndarray:
         """Where each token begins, and where the last one ends."""
@@ -157,11 +111,21 @@ class _Side:
         return self.bytes[np.repeat(self.at[ids] - at[:-1], size) + np.arange(at[-1])]
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``first[k]`` up to ``first[k] + size[k]`` for each k, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Aligner:
     def __init__(self, vocabulary: Vocabulary, memo: int = MEMO):
-        self.vocabulary, self.windows = vocabulary, Windows(vocabulary, memo)
-        self.a = _Side(vocabulary.a_bytes, self.windows.a_type)
-        self.b = _Side(vocabulary.b_bytes, self.windows.b_type)
+        self.vocabulary, self.most = vocabulary, memo
+        self.a, self.b = _Side(vocabulary.a_bytes), _Side(vocabulary.b_bytes)
+        self.names = [str(i) for i in range(max(len(vocabulary.a_bytes), len(vocabulary.b_bytes)))]
+        self.name_len = np.array([len(x) for x in self.names])
+        #: Packed id tuples of a window -> sizes of its groups in tokens of A and
+        #: of B (packed), and their text.
+        self.memo: dict[tuple[bytes, bytes], tuple[bytes, bytes, str]] = {}
 
     def _faithful(self, side: _Side, ids: list[np.ndarray], raw: list[bytes]) -> np.ndarray:
         """Which texts the tokens give back byte by byte."""
@@ -184,6 +148,65 @@ class Aligner:
         cuts = np.union1d(both, np.append(starts, a_at[-1]))
         return cuts, np.searchsorted(a_at, cuts), np.searchsorted(b_at, cuts)
 
+    @staticmethod
+    def _distinct(sides: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Windows (given by ids and first places on both sides) that occur: the
+        first place of each, and which of them every window is."""
+        total = len(sides[0][1]) - 1
+        mix = np.zeros(total, np.uint64)
+        within = []
+        for ids, cut in sides:
+            place = np.arange(len(ids)) - np.repeat(cut[:-1], np.diff(cut))
+            within.append(place)
+            mix = mix * np.uint64(0x9E3779B97F4A7C15) + \
+                np.add.reduceat((ids.astype(np.uint64) + np.uint64(1)) * _ODD[place % len(_ODD)], cut[:-1])
+        _, first, which = np.unique(mix, return_index=True, return_inverse=True)
+        for (ids, cut), place in zip(sides, within):
+            size, model = np.diff(cut), first[which]
+            if (size != size[model]).any() or (ids != ids[np.repeat(cut[:-1][model], size) + place]).any():
+                return np.arange(total), np.arange(total)  # two windows share a hash: each for itself
+        return first, which
+
+    def _groups(self, a: np.ndarray, b: np.ndarray, sizes: list[np.ndarray]) -> list[tuple[bytes, bytes, str]]:
+        """Groups of windows, given their tokens one window after the other and
+        how many of them each window has."""
+        windows = np.arange(len(sizes[0]))
+        a_win, b_win = (np.repeat(windows, n) for n in sizes)
+        a_end, b_end = self.a.offsets(a)[1:], self.b.offsets(b)[1:]
+        shared = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_group, b_group = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
+        packed = [np.bincount(g, minlength=len(shared)).astype(SIZE).tobytes() for g in (a_group, b_group)]
+        at = np.cumsum([0, *np.bincount(a_win[np.searchsorted(a_end, shared)], minlength=len(windows))]) * SIZE.itemsize
+        # the text: names of the tokens by group, A's before B's, each with what comes after it
+        part = np.concatenate([2 * a_group, 2 * b_group + 1])
+        order = np.argsort(part, kind="stable")
+        ids, part = np.concatenate([a, b])[order], part[order]
+        step = np.append(part[1:], -1) - part
+        pieces = [""] * (2 * len(ids))
+        pieces[::2] = map(self.names.__getitem__, ids.tolist())
+        pieces[1::2] = np.where(step == 0, ",", np.where((step == 1) & (part % 2 == 0), "|", ";")).tolist()
+        text = "".join(pieces)
+        ends = np.cumsum(self.name_len[ids] + 1)[np.cumsum(sizes[0] + sizes[1]) - 1].tolist()
+        return [(packed[0][i:j], packed[1][i:j], text[x:y - 1])
+                for i, j, x, y in zip(at.tolist(), at[1:].tolist(), [0, *ends], ends)]
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, cuts: list[np.ndarray], keys: list[tuple[bytes, bytes]],
+                 first: np.ndarray) -> list[tuple[bytes, bytes, str]]:
+        """The groups of the windows at the places ``first``, remembered or new."""
+        found = list(map(self.memo.get, keys))
+        new = [k for k, f in enumerate(found) if f is None]
+        if new:
+            chosen = first[new]
+            sizes = [np.diff(cut)[chosen] for cut in cuts]
+            ids = [x[_ranges(cut[chosen], n)] for x, cut, n in zip((a, b), cuts, sizes)]
+            for k, n, groups in zip(new, (sizes[0] + sizes[1]).tolist(), self._groups(*ids, sizes)):
+                found[k] = groups
+                if n <= LONGEST:
+                    if len(self.memo) >= self.most:
+                        self.memo.clear()
+                    self.memo[keys[k]] = groups
+        return found
+
     def documents(self, texts: list[str | None]) -> list[tuple[bytes, bytes, bytes, bytes, str]]:
         """The packed ids of A and of B, tokens of each in the groups (packed),
         and the digest of the groups, of each text."""
@@ -198,17 +221,20 @@ class Aligner:
             return out
         a, b = (np.concatenate(x) for x in zip(*pairs))
         starts = np.cumsum([0, *map(len, raw)])
-        cuts, a_cut, b_cut = self._anchors(a, b, starts[:-1])
+        cuts, *sides = self._anchors(a, b, starts[:-1])
         a_raw, b_raw = a.astype(self.a.packing).tobytes(), b.astype(self.b.packing).tobytes()
-        a_width, b_width = self.a.packing.itemsize, self.b.packing.itemsize
-        x, y = (a_cut * a_width).tolist(), (b_cut * b_width).tolist()
-        keys = [(a_raw[i:i1], b_raw[j:j1]) for i, i1, j, j1 in zip(x, x[1:], y, y[1:])]
-        found = list(map(self.windows.__getitem__, keys))
-        window = np.searchsorted(cuts, starts).tolist()
-        for place, w, w1 in zip(places, window, window[1:]):
-            a_sizes, b_sizes, groups = zip(*found[w:w1])
-            out[place] = (a_raw[x[w]:x[w1]], b_raw[y[w]:y[w1]], b"".join(a_sizes), b"".join(b_sizes),
-                          hashlib.sha256(";".join(groups).encode()).hexdigest())
+        x, y = ((cut * s.packing.itemsize) for cut, s in zip(sides, (self.a, self.b)))
+        first, which = self._distinct(list(zip((a, b), sides)))
+        keys = [(a_raw[i:i1], b_raw[j:j1]) for i, i1, j, j1 in
+                zip(x[first].tolist(), x[first + 1].tolist(), y[first].tolist(), y[first + 1].tolist())]
+        a_sizes, b_sizes, groups = zip(*self._aligned(a, b, sides, keys, first))
+        window = np.searchsorted(cuts, starts)
+        x, y, which = x[window].tolist(), y[window].tolist(), which.tolist()
+        for k, (place, w, w1) in enumerate(zip(places, window.tolist(), window[1:].tolist())):
+            own = which[w:w1]
+            out[place] = (a_raw[x[k]:x[k + 1]], b_raw[y[k]:y[k + 1]], b"".join([a_sizes[i] for i in own]),
+                          b"".join([b_sizes[i] for i in own]),
+                          hashlib.sha256(";".join([groups[i] for i in own]).encode()).hexdigest())
         return out
 
 
@@ -238,7 +264,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: str =
     def run(batches):
         import pyarrow as pa
         aligner = _aligner(a_path, b_path, pattern)
-        widths = (aligner.windows.a_type.itemsize, aligner.windows.b_type.itemsize, SIZE.itemsize)
+        widths = (aligner.a.packing.itemsize, aligner.b.packing.itemsize, SIZE.itemsize)
         for batch in batches:
             for first, last in _runs(batch.column(1), BATCH):
                 part = batch.slice(first, last - first)

@@ -12,8 +12,9 @@ code points, keyed by document and output position.
 in output order; they stream, one at a time, into the digest of the output.
 From the output alone (its sentinels tell where each part begins) each piece
 gets its place in the original text, and a second sort streams the pieces into
-the digest of the restored text. So no task holds a document it assembles, and
-sorting spills to disk.
+the digest of the restored text. A plain output stands in the original order
+already and is digested as it streams. So no task holds a document it assembles, and
+sorting spills to disk. Pieces travel compressed.
 
 The document part of a key is a digest of id and text, so that a task which is
 run again sends the same pieces to the same place. Rows that repeat an id with
@@ -34,6 +35,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 
+import zstandard
 from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +56,18 @@ _PLACE = {"<P>": 0, "<M>": 1, "<S>": 2}
 _RECORD = 3
 
 
+#: Shorter pieces travel as they are.
+_SHORT = 64
+
+
+def _packed(piece: str) -> str | bytes:
+    return piece if len(piece) < _SHORT else zstandard.compress(piece.encode(), 1)
+
+
+def _unpacked(piece: str | bytes) -> str:
+    return piece if isinstance(piece, str) else zstandard.decompress(piece).decode()
+
+
 def draws(doc_id: int | None, seed: int = SEED) -> list[int]:
     """Four numbers of 32 bits for a document."""
     h = hashlib.sha256(f"{seed}:{doc_id}".encode()).hexdigest()
@@ -115,7 +129,7 @@ def _emit(seed: int) -> Callable:
             record, parts = pieces(doc_id, text, seed)
             yield (key, repeat, 0), (doc_id, *record)
             for position, piece in enumerate(parts, 1):
-                yield (key, repeat, position), piece
+                yield (key, repeat, position), _packed(piece)
     return run
 
 
@@ -136,7 +150,7 @@ def _documents(rows) -> Iterator[tuple[tuple, tuple, int, Iterator[str]]]:
         while at is not None and at[0][:2] == key:
             (_, _, position), piece = at
             if position != last:  # the same piece of an equal row comes next to it
-                yield piece
+                yield _unpacked(piece)
                 last = position
             at = next(rows, None)
 
@@ -176,27 +190,30 @@ def examples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
 
 def _place(rows) -> Iterator[tuple[tuple, object]]:
     """Pieces keyed by their place in the original text, read off the output;
-    last the document's record with the output's digest."""
+    last the document's record with the digests of the output and, if that is
+    plain and so stands in the original order, of the text."""
     for (key, repeat), record, copies, parts in _documents(rows):
-        digest, part, n = hashlib.sha256(), _PLACE["<P>"], 0
+        digest, plain, part, n = hashlib.sha256(), record[2] == "plain", _PLACE["<P>"], 0
         for piece in parts:
             digest.update(piece.encode())
-            if record[2] != "plain" and piece[:3] in _PLACE:
+            if plain:
+                continue
+            if piece[:3] in _PLACE:
                 part, n, piece = _PLACE[piece[:3]], 0, piece[3:]
-            yield (key, repeat, part, n), piece
+            yield (key, repeat, part, n), _packed(piece)
             n += 1
-        yield (key, repeat, _RECORD, 0), (*record, digest.hexdigest(), copies)
+        yield (key, repeat, _RECORD, 0), (copies, *record, digest.hexdigest(), digest.hexdigest() if plain else None)
 
 
 def _restore(rows) -> Iterator[tuple]:
     digest = hashlib.sha256()
     for (_, _, part, _), piece in rows:
         if part != _RECORD:
-            digest.update(piece.encode())
+            digest.update(_unpacked(piece).encode())
             continue
-        *record, copies = piece
+        copies, *row, plain = piece
         for _ in range(copies):
-            yield (*record, digest.hexdigest())
+            yield (*row, plain or digest.hexdigest())
         digest = hashlib.sha256()
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -119,7 +120,15 @@ def test_small_memo_and_windows(docs, plain):
     texts = ["one two three one two three", "antidisestablishmentarianism", "x" * 200]
     got = [(len(a) // 2, len(b) // 2, len(s) // 4, d) for a, b, s, _, d in aligner.documents(texts)]
     assert got == [(r[1], r[2], r[3], r[7]) for r in plain(list(enumerate(texts)))]
-    assert len(aligner.windows) <= 2
+    assert len(aligner.memo) <= 2
+    assert [x[4] for x in aligner.documents(texts)] == [x[3] for x in got]
+
+
+def test_windows_that_share_a_hash_stay_apart(monkeypatch, plain):
+    monkeypatch.setattr(align_tokens, "_ODD", np.zeros(1, np.uint64))
+    aligner = align_tokens.Aligner(align_tokens.Vocabulary(A, B, PATTERN))
+    texts = ["some quite unforgettable words", "some other words"]
+    assert [x[4] for x in aligner.documents(texts)] == [r[7] for r in plain(list(enumerate(texts)))]
 
 
 def test_empty_table_and_clashing_columns(spark, docs, plain):
