@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from sparkmart.session import scratch_path
 
+#: Rows of an Arrow batch. Whole texts travel in them, in the JVM and in a Python
+#: worker at a time, so the default of 10,000 rows has no useful bound in bytes.
+ARROW_ROWS = 1000
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,12 +29,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it; on
-    a cluster, where it is installed, this changes nothing."""
+    """Let Python workers import this package from where the driver has it (on a
+    cluster, where it is installed, this changes nothing), and keep Arrow batches
+    of texts small."""
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
