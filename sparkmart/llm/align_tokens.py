@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import written
+from sparkmart.llm.common import uncollected, written
 
 #: Windows a worker remembers before it starts anew, and the tokens of the longest.
 MEMO, LONGEST = 60_000, 32
@@ -96,19 +96,24 @@ class _Side:
     """What is known of one tokenizer's tokens by id, as arrays."""
 
     def __init__(self, tokens: list[bytes]):
-        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.size = np.array([len(t) for t in tokens], np.int32)  # texts have less than 2^31 bytes
         self.space = np.array([t[:1] == b" " for t in tokens])
-        self.bytes, self.at = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.at = np.cumsum(self.size, dtype=np.int32) - self.size
         self.packing = np.dtype("<u2" if len(tokens) <= 1 << 16 else "<u4")
 
     def offsets(self, ids: np.ndarray) -> np.ndarray:
         """Where each token begins, and where the last one ends."""
-        return np.concatenate([[0], np.cumsum(self.size[ids])])
+        out = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum(self.size[ids], out=out[1:])
+        return out
 
     def spelt(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the tokens, one after the other."""
         size, at = self.size[ids], self.offsets(ids)
-        return self.bytes[np.repeat(self.at[ids] - at[:-1], size) + np.arange(at[-1])]
+        place = np.repeat(self.at[ids] - at[:-1], size)
+        place += np.arange(at[-1], dtype=np.int32)
+        return self.bytes[place]
 
 
 def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -268,7 +273,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: str =
         for batch in batches:
             for first, last in _runs(batch.column(1), BATCH):
                 part = batch.slice(first, last - first)
-                columns = list(zip(*aligner.documents(part.column(1).to_pylist())))
+                with uncollected():
+                    columns = list(zip(*aligner.documents(part.column(1).to_pylist())))
                 counts = [pa.array([len(x) // w for x in columns[k]], pa.int64()) for k, w in enumerate(widths)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *counts, *(pa.array(c, pa.binary()) for c in columns[:4]),
@@ -281,7 +287,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, id_col: str =
 def _flat(column, n: int) -> np.ndarray:
     """The integers of a packed column, ``n`` in all, one row after the other."""
     raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, f"<u{len(raw) // n}" if n else SIZE).astype(np.int64)
+    return np.frombuffer(raw, f"<u{len(raw) // n}" if n else SIZE)
 
 
 def unpacked(aligned: DataFrame) -> DataFrame:
@@ -305,10 +311,11 @@ def unpacked(aligned: DataFrame) -> DataFrame:
 def _links(batch) -> tuple[np.ndarray, np.ndarray]:
     """The id pair (A high, B low) of each link, and where each row's links begin."""
     n = {c: batch.column(c).to_numpy() for c in ("n_a", "n_b", "n_groups")}
+    groups = int(n["n_groups"].sum())
     ends = []
     for ids, sizes, count in (("a_ids", "a_sizes", "n_a"), ("b_ids", "b_sizes", "n_b")):
-        size = _flat(batch.column(sizes), int(n["n_groups"].sum()))
-        ends.append(_flat(batch.column(ids), int(n[count].sum()))[np.cumsum(size) - 1])
+        last = np.cumsum(_flat(batch.column(sizes), groups), dtype=np.int64) - 1
+        ends.append(_flat(batch.column(ids), int(n[count].sum()))[last].astype(np.int64))
     return ends[0] << 32 | ends[1], np.concatenate([[0], np.cumsum(n["n_groups"])]).astype(np.int64)
 
 
@@ -349,9 +356,10 @@ def scored(aligned: DataFrame, counts: DataFrame, most_pairs: int) -> DataFrame:
         np.maximum.at(best, b, n)
         for batch in batches:
             links, first = _links(batch)
-            count = n[np.searchsorted(pairs, links)] if len(links) else links
-            is_best = count == best[links & 0xFFFFFFFF]
-            sums = []
+            distinct, which = np.unique(links, return_inverse=True)
+            count = n[np.searchsorted(pairs, distinct)] if len(links) else distinct
+            is_best = (count == best[distinct & 0xFFFFFFFF])[which]
+            count, sums = count[which], []
             for x in (np.ones_like(links), is_best, count):
                 run_sum = np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
                 sums.append(pa.array(run_sum[first[1:]] - run_sum[first[:-1]], pa.int64()))

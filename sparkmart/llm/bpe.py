@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import gc
 import hashlib
 from array import array
 from itertools import chain
@@ -31,6 +30,8 @@ from itertools import chain
 import ahocorasick
 import regex
 
+from sparkmart.llm.common import uncollected
+
 #: Pieces whose ids a worker remembers before it starts anew; bounds its memory.
 MEMO = 500_000
 
@@ -214,18 +215,18 @@ def digests(docs, path: str, pattern: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        gc.disable()  # the memo is large and holds no cycles
         codec = _codec(path, pattern)
         name = {i: str(i) for i in codec.bytes_of}.__getitem__
         for batch in batches:
             counts, a, b, all_ids = [], [], [], []
-            for text in batch.column(1):
-                tokens = codec.encode(text.as_py() or "")
-                counts.append(len(tokens))
-                a.append(hashlib.sha256(",".join(map(name, tokens)).encode()).hexdigest())
-                b.append(hashlib.sha256(codec.decode(tokens)).hexdigest())
-                if with_ids:
-                    all_ids.append(array("i", tokens))
+            with uncollected():
+                for text in batch.column(1):
+                    tokens = codec.encode(text.as_py() or "")
+                    counts.append(len(tokens))
+                    a.append(hashlib.sha256(",".join(map(name, tokens)).encode()).hexdigest())
+                    b.append(hashlib.sha256(codec.decode(tokens)).hexdigest())
+                    if with_ids:
+                        all_ids.append(array("i", tokens))
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(a, pa.string()),
                        pa.array(b, pa.string())]
             if with_ids:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
 from pathlib import Path
 
@@ -54,3 +56,16 @@ def filled(column: str) -> Column:
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
+
+
+@contextlib.contextmanager
+def uncollected():
+    """No garbage collection meanwhile: a worker's memos are large and hold no
+    cycles. Workers are used again, so what was on before is on afterwards."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()

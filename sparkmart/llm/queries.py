@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import (align_tokens, bpe, decontaminate, exact_dedup, fill_middle, link_trust,
-                            masked_lm, pii, quotes, rans, simhash, toxicity)
+from sparkmart.llm import (align_tokens, bpe, decontaminate, exact_dedup, fill_middle, jaccard_groups,
+                            link_trust, masked_lm, pii, quotes, rans, simhash, toxicity)
 from sparkmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +138,11 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.PATTERN)
 
 
+@_query
+def op12_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.linked(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))

@@ -22,7 +22,6 @@ whose block fails its checksum is an error, never a wrong result.
 from __future__ import annotations
 
 import functools
-import gc
 import re
 import zlib
 
@@ -31,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import written
+from sparkmart.llm.common import uncollected, written
 from sparkmart.session import scratch_path
 
 SCALE_LOG2 = 20
@@ -245,12 +244,12 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc
     def run(batches):
         import pyarrow as pa
         import zstandard
-        gc.disable()  # the memo is large and holds no cycles
         tokenizer, end = _tokenizer(path), np.array([end_id], "<u4").tobytes()
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            raw = [ids + end for some in _some(texts, 1 << 20) for ids in tokenizer.encode(some)]
+            with uncollected():
+                raw = [ids + end for some in _some(texts, 1 << 20) for ids in tokenizer.encode(some)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(r) // 4 for r in raw], pa.int64()),
                  pa.array([press(_planes(r)) for r in raw], pa.binary())], names=["doc_id", "h", "n", "ids"])
