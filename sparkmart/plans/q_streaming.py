@@ -2,6 +2,10 @@
 the test data as files in a fresh folder under the shared checkpoint
 directory, streams it with ``availableNow`` and returns what the sinks hold.
 The oracle is the same enrichment written as one batch query.
+
+An order of the test data has many lines and no number tells them apart, so a
+transaction is a whole line there; the keys on re-delivery take the first
+line of each order, as the transactions table has one row per order id.
 """
 
 from __future__ import annotations
@@ -13,10 +17,12 @@ from sparkmart.plans.registry import register
 from sparkmart.session import scratch_path
 from sparkmart.sources.testdata import DATE_RANGE, star
 from sparkmart.streaming.fact_stream import (
-    StreamPaths, read_dim_date, read_fact, read_rejects, run_fact_stream, stage_files,
+    RECORDS_PER_FILE, StreamPaths, TransactionKey, read_dim_date, read_fact, read_manifest, read_rejects,
+    run_fact_stream, stage_files,
 )
 
-N_FILES = 8
+LINE = TransactionKey("line_id", dated=True)  # the same line never has another date
+ORDER = TransactionKey("order_id")
 FACT_COLS = ["order_id", "order_date", "date_id", "customer_id", "product_id", "store_id",
              "quantity", "unit_price", "total_sale"]
 
@@ -26,55 +32,106 @@ SELECT f.order_id, f.order_date, f.date_id, f.customer_id, f.product_id, f.store
 FROM fact f WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)""")
 
 
-def _run(spark, sf_dir, name, slices=None, restarts=0):
-    """Stage the feed (optionally in date slices, each followed by a stream
-    run on the same checkpoint) and return (paths, progress)."""
+def _run(spark, sf_dir, name, deliveries=None, restarts=0, key=LINE, records_per_file=RECORDS_PER_FILE, **limits):
+    """Stage the feed (optionally in deliveries, each a function of the
+    transactions and followed by a stream run on the same checkpoint);
+    (paths, schema of the feed)."""
     s = star(spark, sf_dir)
     paths = StreamPaths(scratch_path(spark, name))
     tx = s.transactions
-    schema = tx.schema
     # dimensions are built once before the stream starts (as the ETL writes
     # them first); micro-batches then join the materialised tables
     cust = s.dim_customer.select("customer_id").checkpoint(eager=True)
     prod = s.dim_product.select("product_id", "product_price", "store_id").checkpoint(eager=True)
-    progress = []
-    for cond in (slices or [None]):
-        stage_files(tx if cond is None else tx.filter(cond), paths.source, N_FILES)
-        progress += run_fact_stream(spark, paths, schema, cust, prod, *DATE_RANGE)
-    for _ in range(restarts):
-        progress += run_fact_stream(spark, paths, schema, cust, prod, *DATE_RANGE)
-    return paths, progress
+    for part in [*(deliveries or [lambda t: t]), *[None] * restarts]:
+        if part is not None:
+            stage_files(part(tx), paths.source, records_per_file)
+        run_fact_stream(spark, paths, tx.schema, cust, prod, *DATE_RANGE, key=key, **limits)
+    return paths, tx.schema
+
+
+def _between(lo=None, hi=None):
+    """The transactions of a date range."""
+    def part(tx):
+        d = F.col("order_date")
+        if lo is not None:
+            tx = tx.filter(d >= F.lit(lo).cast("date"))
+        return tx if hi is None else tx.filter(d < F.lit(hi).cast("date"))
+    return part
 
 
-@register("stream_micro_batch", SQL_FACT, "2.9")
+SMALL_FILE, SMALL_BATCH = 20_000, 300_000  # rows, bytes: several batches of the larger test tables
+
+
+@register("stream_micro_batch", with_star(f"""
+SELECT COUNT(*) AS rows_in, CAST(0 AS BIGINT) AS batches_over_bound,
+       COUNT(*) > {SMALL_FILE} AS several_batches,
+       COUNT(*) FILTER (WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = t.customer_id)
+                          AND EXISTS (SELECT 1 FROM dim_product p WHERE p.product_id = t.product_id)
+                          AND t.quantity > 0) AS rows_loaded
+FROM tx t"""), "2.9")
 def stream_micro_batch(spark, sf_dir):
-    paths, _ = _run(spark, sf_dir, "stream-micro-batch")
-    return read_fact(spark, paths).select(*FACT_COLS)
+    """Batches bounded by bytes: whatever the bound, the batches' rows make up the
+    feed, and no batch is larger than the bound allows (one file more than the
+    bytes, each of at most ``SMALL_FILE`` rows)."""
+    paths, _ = _run(spark, sf_dir, "stream-micro-batch", records_per_file=SMALL_FILE, bytes_per_trigger=SMALL_BATCH)
+    size = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths.source) \
+        .agg(F.min("length")).first()[0]
+    most = SMALL_FILE * (SMALL_BATCH // max(size, 1) + 1)
+    return read_manifest(spark, paths).agg(
+        F.sum("rows_in").alias("rows_in"), F.count_if(F.col("rows_in") > most).alias("batches_over_bound"),
+        (F.count("*") > 1).alias("several_batches"), F.sum("rows_loaded").alias("rows_loaded"))
 
 
 @register("stream_dim_join", SQL_FACT, "2.9")
 def stream_dim_join(spark, sf_dir):
-    paths, _ = _run(spark, sf_dir, "stream-dim-join")
-    return read_fact(spark, paths).select(*FACT_COLS)
+    paths, feed = _run(spark, sf_dir, "stream-dim-join")
+    return read_fact(spark, paths, feed, LINE).select(*FACT_COLS)
+
 
+# The order of an order's lines; whole-line ties are equal in every column that is loaded.
+_LINES = ["line_number", "product_id", "quantity", "customer_id"]
 
-@register("stream_incremental_dedupe", SQL_FACT, "2.9")
+
+def _one_line(pick):
+    """One line of each order: the first (``F.min``) or the last (``F.max``)."""
+    def part(tx):
+        best = tx.groupBy("order_id", "order_date").agg(pick(F.struct(*_LINES, "line_id")).alias("b"))
+        return best.select(*[F.col(f"b.{c}").alias(c) if c not in ("order_id", "order_date") else F.col(c)
+                             for c in tx.columns])
+    return part
+
+
+@register("stream_incremental_dedupe", with_star("""
+SELECT f.order_id, f.order_date, f.date_id, f.customer_id, f.product_id, f.store_id,
+       f.quantity, f.unit_price, f.total_sale
+FROM (
+  SELECT CAST(t.order_id AS VARCHAR) AS order_id, t.order_date,
+         CAST(year(t.order_date) * 10000 + month(t.order_date) * 100 + day(t.order_date) AS INTEGER) AS date_id,
+         t.customer_id, t.product_id, p.store_id, t.quantity, p.product_price AS unit_price,
+         CAST(p.product_price * t.quantity AS DECIMAL(18,2)) AS total_sale,
+         ROW_NUMBER() OVER (PARTITION BY t.order_id
+                            ORDER BY t.line_number, t.product_id, t.quantity, t.customer_id) AS first,
+         ROW_NUMBER() OVER (PARTITION BY t.order_id
+                            ORDER BY t.line_number DESC, t.product_id DESC, t.quantity DESC, t.customer_id DESC) AS last
+  FROM tx t JOIN dim_product p ON p.product_id = t.product_id) f
+WHERE CASE WHEN f.order_date < DATE '1998-07-01' THEN f.first = 1 ELSE f.last = 1 END
+  AND EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)"""), "2.9")
 def stream_incremental_dedupe(spark, sf_dir):
-    # two deliveries that overlap by one year: re-delivered lines load once
-    d = F.col("order_date")
-    paths, _ = _run(spark, sf_dir, "stream-dedupe",
-                    slices=[d < F.lit("1998-07-01").cast("date"), d >= F.lit("1997-07-01").cast("date")])
-    return read_fact(spark, paths).select(*FACT_COLS)
+    """The second delivery brings a year of orders again, with another line each:
+    what was loaded first stays."""
+    paths, feed = _run(spark, sf_dir, "stream-dedupe", key=ORDER, deliveries=[
+        lambda t: _one_line(F.min)(_between(hi="1998-07-01")(t)),
+        lambda t: _one_line(F.max)(_between(lo="1997-07-01")(t))])
+    return read_fact(spark, paths, feed, ORDER).select(*FACT_COLS)
 
 
 @register("stream_resume", SQL_FACT, "2.9")
 def stream_resume(spark, sf_dir):
     # first slice, restart with new files, then a restart with nothing new
-    d = F.col("order_date")
-    paths, _ = _run(spark, sf_dir, "stream-resume",
-                    slices=[d < F.lit("1998-01-01").cast("date"), d >= F.lit("1998-01-01").cast("date")],
-                    restarts=1)
-    return read_fact(spark, paths).select(*FACT_COLS)
+    paths, feed = _run(spark, sf_dir, "stream-resume", restarts=1,
+                       deliveries=[_between(hi="1998-01-01"), _between(lo="1998-01-01")])
+    return read_fact(spark, paths, feed, LINE).select(*FACT_COLS)
 
 
 @register("stream_date_get_or_create", with_star("""
@@ -86,9 +143,7 @@ SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_id, d
 FROM (SELECT DISTINCT order_date AS d FROM fact f
       WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)) t"""), "2.9")
 def stream_date_get_or_create(spark, sf_dir):
-    d = F.col("order_date")
-    paths, _ = _run(spark, sf_dir, "stream-dates",
-                    slices=[d < F.lit("1998-07-01").cast("date"), d >= F.lit("1997-07-01").cast("date")])
+    paths, _ = _run(spark, sf_dir, "stream-dates", deliveries=[_between(hi="1998-07-01"), _between(lo="1997-07-01")])
     return read_dim_date(spark, paths)
 
 
@@ -110,18 +165,32 @@ SELECT 'reject', reason, COUNT(*) FROM (
   FROM tx t) r
 WHERE reason IS NOT NULL GROUP BY reason"""), "2.9")
 def stream_validate_route(spark, sf_dir):
-    paths, _ = _run(spark, sf_dir, "stream-route")
-    good = read_fact(spark, paths).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 0") \
+    paths, feed = _run(spark, sf_dir, "stream-route")
+    good = read_fact(spark, paths, feed, LINE).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 0") \
         .select(F.lit("fact").alias("route"), F.lit(None).cast("string").alias("reason"), "n_rows")
-    bad = read_rejects(spark, paths).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")) \
+    bad = read_rejects(spark, paths, feed, LINE).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")) \
         .select(F.lit("reject").alias("route"), "reason", "n_rows")
     return good.unionByName(bad)
 
 
-@register("stream_metrics", None, "2.9")
+@register("stream_metrics", with_star("""
+SELECT COUNT(*) FILTER (WHERE delivery = 1) + COUNT(*) FILTER (WHERE delivery = 2) AS rows_in,
+       COUNT(*) FILTER (WHERE ok AND (delivery = 1 OR order_date >= DATE '1998-07-01')) AS rows_loaded,
+       COUNT(*) FILTER (WHERE NOT ok) AS rows_rejected,
+       COUNT(*) FILTER (WHERE ok AND delivery = 2 AND order_date < DATE '1998-07-01') AS rows_duplicate,
+       TRUE AS each_batch_adds_up
+FROM (
+  SELECT d.delivery, t.order_date,
+         EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = t.customer_id)
+         AND EXISTS (SELECT 1 FROM dim_product p WHERE p.product_id = t.product_id) AND t.quantity > 0 AS ok
+  FROM tx t JOIN (SELECT 1 AS delivery UNION ALL SELECT 2) d
+    ON CASE d.delivery WHEN 1 THEN t.order_date < DATE '1998-07-01' ELSE t.order_date >= DATE '1997-07-01' END) r"""),
+          "2.9")
 def stream_metrics(spark, sf_dir):
-    """Rows and seconds per micro-batch from the query progress (rows-only
-    check: batch boundaries depend on file splits)."""
-    _, progress = _run(spark, sf_dir, "stream-metrics")
-    rows = [(int(p["batch_id"]), int(p["num_input_rows"]), int(p["duration_ms"] or 0)) for p in progress]
-    return spark.createDataFrame(rows, "batch_id long, num_input_rows long, duration_ms long")
+    """Rows in, loaded, rejected and duplicate, summed over the manifest's row of
+    each micro-batch."""
+    paths, _ = _run(spark, sf_dir, "stream-metrics", deliveries=[_between(hi="1998-07-01"), _between(lo="1997-07-01")])
+    kinds = ("rows_loaded", "rows_rejected", "rows_duplicate")
+    whole = F.col("rows_in") == sum((F.col(c) for c in kinds), F.lit(0))
+    return read_manifest(spark, paths).agg(
+        *[F.sum(c).alias(c) for c in ("rows_in", *kinds)], F.bool_and(whole).alias("each_batch_adds_up"))

@@ -65,7 +65,7 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
         .when(sid.isNull(), "bad supplier_id").alias("reject_reason"))
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
+def read_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """order_id, order_date (mixed layouts), product_id, quantity,
     customer_id; lines without exactly five fields are rejected."""
     raw = with_file_ordinal(_read(spark, path, TRANSACTIONS_CSV))

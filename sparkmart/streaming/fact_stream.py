@@ -1,128 +1,229 @@
-"""Structured Streaming fact loader: transaction files -> enriched fact.
-
-Each micro-batch (``maxFilesPerTrigger`` files) is enriched with the customer
-and product dimensions, validated, and appended to the fact. ``foreachBatch``
-is at-least-once, so the sink is made idempotent:
-
-* every batch writes to its own ``batch_id=<n>`` directory in overwrite mode,
-  so a replayed batch replaces its own earlier output;
-* rows already present in *other* batch directories (re-delivered lines) are
-  removed by an anti-join on the line identity, reading only the identity
-  and date columns, and only row groups whose dates overlap the batch;
-* duplicates inside one batch are dropped first.
-
-Rejected rows go to a parallel ``rejects`` table with their reason, and the
-date dimension grows by the batch's new dates (get-or-create without state:
-the key is the deterministic yyyymmdd date key).
+"""Structured Streaming fact loader: staged transactions -> enriched fact.
+
+Micro-batches are bounded by bytes (``maxBytesPerTrigger`` over staged files of at
+most ``RECORDS_PER_FILE`` rows), so a day of any size comes in as many batches as it
+takes. Each batch is enriched with the dimensions, validated and written once:
+
+    loaded/batch_id=<n>/route=<fact|reject>/sale_month=<yyyymm>/
+    manifest/batch_id=<n>/        one row: metrics, and the dates of loaded rows
+
+``foreachBatch`` is at-least-once and a driver may stop anywhere, so a batch counts
+only once its manifest row is there. Readers take committed batches alone and give
+their schema, whatever a stopped batch left behind; a replayed batch overwrites
+its own directory.
+
+A transaction is loaded once per key (``TransactionKey``): repeats within a batch
+are reduced to the first on the mappers, and a left join with the keys already
+loaded finds re-deliveries, whatever else about them has changed. The loaded
+rows by month are the index for that: of them only the key and id columns are
+read, in the months of the batch and, if a key may come again under another
+date, in row groups that reach into the batch's range of keys.
+
+Every row of the fact gets a ``sale_id`` (see ``operators/surrogate.py``). The date
+dimension is the set of dates in the manifest; its key is the deterministic
+yyyymmdd date key, so get-or-create needs no state.
 """
 
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.dates import calendar_columns
-from sparkmart.operators.dims import fact_columns
 from sparkmart.operators.quality import enrich_with_flags, reject_reason
+from sparkmart.operators.surrogate import CHAIN, chained, sale_base
 
-STREAM_CHUNK_FILES = 1  # files per micro-batch
+RECORDS_PER_FILE = 1_000_000  # most rows of a staged file
+BYTES_PER_TRIGGER = 512 << 20  # staged bytes of a micro-batch
+
+MANIFEST = T.StructType([
+    T.StructField("rows_in", T.LongType()),
+    T.StructField("rows_loaded", T.LongType()),
+    T.StructField("rows_rejected", T.LongType()),
+    T.StructField("rows_duplicate", T.LongType()),
+    T.StructField("duration_ms", T.LongType()),
+    T.StructField("dates", T.ArrayType(T.DateType())),
+    T.StructField("batch_id", T.LongType()),
+])
+
+
+@dataclass(frozen=True)
+class TransactionKey:
+    """What makes two deliveries the same transaction. ``dated``: a key never
+    comes again under another date, so only the batch's months are looked at."""
+
+    column: str = "order_id"
+    dated: bool = False
 
 
 @dataclass
 class StreamPaths:
     root: str
     source: str = field(init=False)
-    fact: str = field(init=False)
-    rejects: str = field(init=False)
-    dim_date: str = field(init=False)
+    loaded: str = field(init=False)
+    manifest: str = field(init=False)
     checkpoint: str = field(init=False)
 
     def __post_init__(self):
         self.source = os.path.join(self.root, "incoming")
-        self.fact = os.path.join(self.root, "fact_sales")
-        self.rejects = os.path.join(self.root, "rejects")
-        self.dim_date = os.path.join(self.root, "dim_date")
+        self.loaded = os.path.join(self.root, "loaded")
+        self.manifest = os.path.join(self.root, "manifest")
         self.checkpoint = os.path.join(self.root, "_checkpoint")
 
 
-def stage_files(tx: DataFrame, path: str, n_files: int) -> None:
-    """Land a slice of the transaction feed as ``n_files`` Parquet files,
-    each covering a date range (range-partitioned, sorted by date)."""
-    (tx.repartitionByRange(n_files, "order_date").sortWithinPartitions("order_date")
-     .write.mode("append").parquet(path))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
+def loaded_schema(feed: T.StructType, key: TransactionKey) -> T.StructType:
+    """Columns of the loaded table; the key has the feed's type."""
+    return T.StructType([
+        T.StructField("key", feed[key.column].dataType),
+        T.StructField("sale_id", T.LongType()),
+        T.StructField("order_id", T.StringType()),
+        T.StructField("line_number", feed["line_number"].dataType),
+        T.StructField("order_date", T.DateType()),
+        T.StructField("date_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("product_id", T.LongType()),
+        T.StructField("store_id", T.IntegerType()),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("unit_price", T.DecimalType(10, 2)),
+        T.StructField("total_sale", T.DecimalType(18, 2)),
+        T.StructField("reason", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("route", T.StringType()),
+        T.StructField("sale_month", T.IntegerType()),
+    ])
+
+
+def stage_files(tx: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+    """Land transactions for the stream in files that cover a date range each
+    (a day with very many rows is split by order as well) and hold at most
+    ``records_per_file`` rows."""
+    (tx.repartitionByRange("order_date", "order_id").sortWithinPartitions("order_date", "order_id")
+     .write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path))
+
+
+def _prepare(spark: SparkSession, paths: StreamPaths, schema: T.StructType) -> None:
+    """The table folders, so that the first batch reads like any other."""
+    spark.createDataFrame([], schema).write.mode("ignore") \
+        .partitionBy("batch_id", "route", "sale_month").parquet(paths.loaded)
+    spark.createDataFrame([], MANIFEST).write.mode("ignore").partitionBy("batch_id").parquet(paths.manifest)
+
+
+def read_manifest(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    """One row per committed batch: rows in, loaded, rejected and duplicate (in
+    the batch or loaded before), duration, dates of loaded rows."""
+    return spark.read.schema(MANIFEST).parquet(paths.manifest).filter(F.col("batch_id").isNotNull())
+
+
+def read_loaded(spark: SparkSession, paths: StreamPaths, schema: T.StructType) -> DataFrame:
+    """Rows of committed batches, facts and rejects."""
+    done = read_manifest(spark, paths).select("batch_id")
+    return spark.read.schema(schema).parquet(paths.loaded).join(done, "batch_id", "left_semi")
+
+
+def _month(c: str) -> Column:
+    return (F.year(c) * 100 + F.month(c)).cast("int")
+
+
+def _known(loaded: DataFrame, batch: DataFrame, batch_id: int, key: TransactionKey) -> DataFrame:
+    """key, sale_id of facts of other batches that a row of ``batch`` may repeat or
+    share an id base with."""
+    k = key.column
+    edge = [F.min(_month("order_date")), F.max(_month("order_date"))]
+    if not key.dated:
+        edge += [F.min(k), F.max(k)]
+    lo, hi, *ids = batch.agg(*edge).first()
+    facts = loaded.filter((F.col("route") == "fact") & (F.col("batch_id") != batch_id))
+    if lo is None:
+        return facts.select("key", "sale_id").limit(0)
+    month = F.col("sale_month").between(lo, hi)
+    known = facts.filter(month).select("key", "sale_id")
+    if not key.dated:
+        known = known.unionByName(facts.filter(~month & F.col("key").between(*ids)).select("key", "sale_id"))
+    return known
+
+
+def make_batch_writer(spark: SparkSession, paths: StreamPaths, schema: T.StructType, key: TransactionKey,
+                      customers: DataFrame, products: DataFrame, date_from: str, date_to: str):
+    # reduced once, not in every batch
+    customers = customers.select("customer_id").distinct().checkpoint(eager=True)
+    out = [f.name for f in schema.fields if f.name != "batch_id"]
 
-def make_batch_writer(spark: SparkSession, paths: StreamPaths, customers: DataFrame,
-                      products: DataFrame, date_from: str, date_to: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        b = batch.dropDuplicates(["line_id"])
-        e = enrich_with_flags(b, customers, products)
-        e = e.withColumn("parse_reason", F.lit(None).cast("string")) \
-            .withColumn("reason", reject_reason(date_from, date_to))
-        e = e.checkpoint(eager=True)  # one evaluation feeds both sinks
-        good = e.filter(F.col("reason").isNull())
-        if _exists(spark, paths.fact):
-            bounds = good.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
-            if bounds["lo"] is not None:
-                seen = (spark.read.parquet(paths.fact)
-                        .filter((F.col("batch_id") != batch_id)
-                                & F.col("order_date").between(bounds["lo"], bounds["hi"]))
-                        .select("line_id"))
-                good = good.join(seen, "line_id", "left_anti")
-        fact = fact_columns(good).withColumn("batch_id", F.lit(batch_id))
-        (fact.write.mode("overwrite").parquet(os.path.join(paths.fact, f"batch_id={batch_id}")))
-        rej = e.filter(F.col("reason").isNotNull()).select(
-            "order_id", "line_number", "order_date", "product_id", "customer_id", "quantity", "reason")
-        rej.write.mode("overwrite").parquet(os.path.join(paths.rejects, f"batch_id={batch_id}"))
-        # dates of valid rows (a re-delivered row's date came in with its first load)
-        new_dates = e.filter(F.col("reason").isNull()).select("order_date").distinct()
-        if _exists(spark, paths.dim_date):
-            known = (spark.read.parquet(paths.dim_date).filter(F.col("batch_id") != batch_id)
-                     .select(F.col("full_date").alias("order_date")))
-            new_dates = new_dates.join(known, "order_date", "left_anti")
-        (new_dates.select(*calendar_columns(F.col("order_date")))
-         .write.mode("overwrite").parquet(os.path.join(paths.dim_date, f"batch_id={batch_id}")))
+        t0 = time.time()
+        known = _known(read_loaded(spark, paths, schema), batch, batch_id, key)
+        others = [c for c in batch.columns if c != key.column]
+        first = batch.groupBy(key.column) \
+            .agg(F.min(F.struct(*others)).alias("first"), F.count("*").alias("copies")) \
+            .select(F.col(key.column), *[F.col(f"first.{c}").alias(c) for c in others], "copies")
+        seen = known.select(F.col("key").alias(key.column), F.lit(True).alias("seen"))
+        e = enrich_with_flags(first, customers, products).withColumn("parse_reason", F.lit(None).cast("string")) \
+            .withColumn("reason", reject_reason(date_from, date_to)) \
+            .join(seen, key.column, "left")
+        e = e.withColumn("route", F.when(F.col("seen"), "duplicate").when(F.col("reason").isNotNull(), "reject")
+                         .otherwise("fact")) \
+            .withColumn("base", F.when(F.col("route") == "fact", sale_base()))
+        tops = known.groupBy((F.col("sale_id") - F.col("sale_id") % CHAIN).alias("base")) \
+            .agg(F.max(F.col("sale_id") % CHAIN).alias("top"))
+        place = F.row_number().over(Window.partitionBy("base", F.when(F.col("base").isNull(), F.col(key.column)))
+                                    .orderBy(key.column))
+        e = e.join(tops, "base", "left").withColumn(
+            "sale_id", F.when(F.col("route") == "fact", chained("base", F.coalesce("top", F.lit(-1)) + place)))
+        rows = e.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in out if c not in ("key", "unit_price",
+                                                                                              "sale_month")],
+                        F.col(key.column).alias("key"), F.col("product_price").alias("unit_price"),
+                        _month("order_date").alias("sale_month"), "copies")
+        took = Observation()
+        is_fact = F.col("route") == "fact"
+        counted = rows.observe(took, F.sum("copies").alias("rows_in"), F.count_if(is_fact).alias("rows_loaded"),
+                               F.count_if(F.col("route") == "reject").alias("rows_rejected"),
+                               F.collect_set(F.when(is_fact, F.col("order_date"))).alias("dates"))
+        counted.filter(F.col("route") != "duplicate").select(*out).write.mode("overwrite") \
+            .partitionBy("route", "sale_month").parquet(os.path.join(paths.loaded, f"batch_id={batch_id}"))
+        m = took.get
+        rows_in = m["rows_in"] or 0
+        row = (rows_in, m["rows_loaded"], m["rows_rejected"], rows_in - m["rows_loaded"] - m["rows_rejected"],
+               int(1000 * (time.time() - t0)), sorted(m["dates"]))
+        # the batch counts from here on
+        spark.createDataFrame([row], T.StructType(MANIFEST.fields[:-1])).coalesce(1).write.mode("overwrite") \
+            .parquet(os.path.join(paths.manifest, f"batch_id={batch_id}"))
     return write_batch
 
 
-def run_fact_stream(spark: SparkSession, paths: StreamPaths, schema, customers: DataFrame,
-                    products: DataFrame, date_from: str, date_to: str,
-                    files_per_trigger: int = STREAM_CHUNK_FILES) -> list[dict]:
-    """Process every file present now (``availableNow``), then stop.
+def run_fact_stream(spark: SparkSession, paths: StreamPaths, feed: T.StructType, customers: DataFrame,
+                    products: DataFrame, date_from: str, date_to: str, key: TransactionKey = TransactionKey(),
+                    bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
+    """Process every file staged by now (``availableNow``), then stop.
 
     Restarting with the same checkpoint processes only files not seen yet.
-    Returns the progress of each micro-batch (rows in, batch id, duration).
+    Returns the manifest rows of this run's batches.
     """
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-           .parquet(paths.source))
-    q = (src.writeStream
-         .foreachBatch(make_batch_writer(spark, paths, customers, products, date_from, date_to))
-         .option("checkpointLocation", paths.checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    return [{"batch_id": p["batchId"], "num_input_rows": p["numInputRows"],
-             "duration_ms": p.get("durationMs", {}).get("triggerExecution")}
-            for p in q.recentProgress if p.get("numInputRows", 0) > 0]
+    schema = loaded_schema(feed, key)
+    _prepare(spark, paths, schema)
+    before = read_manifest(spark, paths).agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+    src = spark.readStream.schema(feed).option("maxBytesPerTrigger", bytes_per_trigger).parquet(paths.source)
+    writer = make_batch_writer(spark, paths, schema, key, customers, products, date_from, date_to)
+    src.writeStream.foreachBatch(writer).option("checkpointLocation", paths.checkpoint) \
+        .trigger(availableNow=True).start().awaitTermination()
+    return read_manifest(spark, paths).filter(F.col("batch_id") > before)
 
 
-def read_fact(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.fact)
+def read_fact(spark: SparkSession, paths: StreamPaths, feed: T.StructType,
+              key: TransactionKey = TransactionKey()) -> DataFrame:
+    return read_loaded(spark, paths, loaded_schema(feed, key)).filter(F.col("route") == "fact").drop("reason", "route")
 
 
-def read_rejects(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.rejects)
+def read_rejects(spark: SparkSession, paths: StreamPaths, feed: T.StructType,
+                 key: TransactionKey = TransactionKey()) -> DataFrame:
+    return read_loaded(spark, paths, loaded_schema(feed, key)).filter(F.col("route") == "reject") \
+        .select("order_id", "line_number", "order_date", "product_id", "customer_id", "quantity", "reason")
 
 
 def read_dim_date(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.dim_date).drop("batch_id")
+    """A calendar row for each date of a loaded fact."""
+    d = read_manifest(spark, paths).select(F.explode("dates").alias("d")).distinct()
+    return d.select(*calendar_columns(F.col("d")))

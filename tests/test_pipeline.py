@@ -51,9 +51,12 @@ def test_pipeline_end_to_end(spark):
                        "bad field count": 1}
     assert star.dim_store.count() == 4 and star.dim_product.count() == 101
     assert star.dim_date.count() == star.fact.select("order_date").distinct().count()
-    # idempotent re-run: same output
-    PL.run_etl(spark, os.path.join(src, "customers.csv"), os.path.join(src, "products.csv"),
-               os.path.join(src, "transactions.csv"), out)
+    # idempotent re-run: same output, and nothing is staged again
+    staged = sorted(os.listdir(os.path.join(out, "incoming")))
+    again = PL.run_etl(spark, os.path.join(src, "customers.csv"), os.path.join(src, "products.csv"),
+                       os.path.join(src, "transactions.csv"), out)
+    assert again["processed_rows"] == 0 and again["batches"] == 0
+    assert sorted(os.listdir(os.path.join(out, "incoming"))) == staged
     star = PL.read_output_star(spark, out)   # the re-run replaced the dimension files
     assert star.fact.count() == 400
     q7 = R.q07_revenue_rollup(star).filter(F.col("year") == "Total").first()
@@ -69,4 +72,22 @@ def test_pipeline_cli(spark, capsys):
              "--out", out, "--reports", "--year", "2019"])
     text = capsys.readouterr().out
     assert "Total records processed: 401" in text
+    assert "== q06_product_affinity" in text and "== q10b_view_one_year" in text
     assert "== q02_store_quarter_growth" in text and "== q10_store_quarter_view" in text
+
+
+def test_a_second_file_adds_to_the_star(spark):
+    src = _files(spark)
+    out = scratch_path(spark, "pipeline-more")
+    args = [spark, os.path.join(src, "customers.csv"), os.path.join(src, "products.csv")]
+    tx = os.path.join(src, "tx")
+    os.makedirs(tx)
+    os.rename(os.path.join(src, "transactions.csv"), os.path.join(tx, "a.csv"))
+    PL.run_etl(*args, tx, out)
+    with open(os.path.join(tx, "b.csv"), "w") as fh:
+        fh.write("order_id,order_date,product_id,quantity,customer_id\n7,2020-01-01,1,99,1\n900,2020-01-01,1,1,1\n")
+    m = PL.run_etl(*args, tx, out)
+    assert (m["rows_in"], m["rows_loaded"], m["rows_duplicate"]) == (2, 1, 1)
+    fact = PL.read_output_star(spark, out).fact
+    assert fact.count() == 401 and fact.filter("order_id = '7' AND quantity = 99").count() == 0
+    assert fact.select("sale_id").distinct().count() == 401

@@ -1,24 +1,33 @@
-"""Streaming loader: T23 overlap + restart, T24 completeness."""
+"""Streaming loader: T23 overlap + restart, T24 completeness, crashes, replays,
+re-deliveries, metrics of many batches, batches bounded by size."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.session import scratch_path
-from sparkmart.streaming.fact_stream import StreamPaths, read_fact, run_fact_stream, stage_files
+from sparkmart.streaming import fact_stream
+from sparkmart.streaming.fact_stream import (
+    StreamPaths, TransactionKey, make_batch_writer, read_dim_date, read_fact, read_loaded, read_manifest,
+    read_rejects, run_fact_stream, stage_files,
+)
 
 SCHEMA = ("order_id long, order_date date, product_id long, customer_id long, quantity int, "
-          "line_number int, line_id struct<h1:long,h2:long>")
+          "line_number int")
+RANGE = ("2019-01-01", "2024-12-31")
 
 
-def _tx(spark, ids):
-    rows = [(i, dt.date(2019, 1, 1) + dt.timedelta(days=i % 30), i % 101, i % 1500, 1 + i % 5, 1,
-             (i, -i)) for i in ids]
+def _tx(spark, ids, quantity=None, day=None):
+    rows = [(i, day or dt.date(2019, 1, 1) + dt.timedelta(days=i % 30), i % 101, i % 1500,
+             quantity or 1 + i % 5, 1) for i in ids]
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def _dims(spark):
+@pytest.fixture(scope="module")
+def dims(spark):
     cust = spark.createDataFrame([(i, f"C{i}", "Male") for i in range(1500)],
                                  "customer_id long, customer_name string, gender string")
     prod = spark.createDataFrame([(i, f"P{i}", Decimal("9.99"), 1, "S", 1) for i in range(101)],
@@ -27,24 +36,142 @@ def _dims(spark):
     return cust, prod
 
 
-def test_t23_overlap_and_restart(spark):
-    cust, prod = _dims(spark)
-    paths = StreamPaths(scratch_path(spark, "t23"))
-    stage_files(_tx(spark, range(1, 6)), paths.source, 1)
-    run_fact_stream(spark, paths, _tx(spark, [1]).schema, cust, prod, "2019-01-01", "2024-12-31")
-    stage_files(_tx(spark, range(4, 9)), paths.source, 1)
-    run_fact_stream(spark, paths, _tx(spark, [1]).schema, cust, prod, "2019-01-01", "2024-12-31")
-    p3 = run_fact_stream(spark, paths, _tx(spark, [1]).schema, cust, prod, "2019-01-01", "2024-12-31")
-    f = read_fact(spark, paths)
-    assert p3 == []
+@pytest.fixture
+def feed(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
+@pytest.fixture
+def paths(spark):
+    return StreamPaths(scratch_path(spark, "stream-test"))
+
+
+def _run(spark, paths, feed, dims, **kw):
+    return run_fact_stream(spark, paths, feed, *dims, *RANGE, **kw).collect()
+
+
+def _loaded(spark, paths, feed):
+    return sorted((r.key, r.quantity) for r in read_fact(spark, paths, feed).select("key", "quantity").collect())
+
+
+def test_t23_overlap_and_restart(spark, dims, feed, paths):
+    stage_files(_tx(spark, range(1, 6)), paths.source)
+    _run(spark, paths, feed, dims)
+    stage_files(_tx(spark, range(4, 9)), paths.source)
+    _run(spark, paths, feed, dims)
+    assert _run(spark, paths, feed, dims) == []
+    f = read_fact(spark, paths, feed)
     assert f.count() == 8 and f.select("order_id").distinct().count() == 8
+    assert f.select("sale_id").distinct().count() == 8
 
 
-def test_t24_completeness(spark):
-    cust, prod = _dims(spark)
-    paths = StreamPaths(scratch_path(spark, "t24"))
-    stage_files(_tx(spark, range(400)), paths.source, 4)
-    run_fact_stream(spark, paths, _tx(spark, [1]).schema, cust, prod, "2019-01-01", "2024-12-31")
-    f = read_fact(spark, paths)
+def test_t24_completeness(spark, dims, feed, paths):
+    stage_files(_tx(spark, range(400)), paths.source)
+    _run(spark, paths, feed, dims)
+    f = read_fact(spark, paths, feed)
     assert f.count() == 400
     assert f.agg(F.sum("total_sale")).first()[0] == sum(Decimal("9.99") * (1 + i % 5) for i in range(400))
+
+
+@pytest.mark.parametrize("day", [None, dt.date(2021, 5, 5)])
+def test_order_delivered_again_with_another_quantity_or_date(spark, dims, feed, paths, day):
+    stage_files(_tx(spark, range(5, 10), quantity=2), paths.source)
+    _run(spark, paths, feed, dims)
+    stage_files(_tx(spark, [7, 7, 12], quantity=9, day=day), paths.source)
+    m = _run(spark, paths, feed, dims)
+    assert _loaded(spark, paths, feed) == [(5, 2), (6, 2), (7, 2), (8, 2), (9, 2), (12, 9)]
+    assert [(r.rows_in, r.rows_loaded, r.rows_rejected, r.rows_duplicate) for r in m] == [(3, 1, 0, 2)]
+
+
+def test_repeats_within_a_batch_and_rejects(spark, dims, feed, paths):
+    bad = spark.createDataFrame([(50, dt.date(2019, 1, 2), 999, 1, 1, 1), (51, dt.date(2010, 1, 1), 1, 1, 1, 1),
+                                 (52, None, 1, 1, 1, 1), (53, dt.date(2019, 1, 2), 1, 1, -1, 1)], SCHEMA)
+    stage_files(_tx(spark, [1, 1, 1, 2]).unionByName(bad), paths.source)
+    m = _run(spark, paths, feed, dims)
+    assert [(r.rows_in, r.rows_loaded, r.rows_rejected, r.rows_duplicate) for r in m] == [(8, 2, 4, 2)]
+    assert sorted(r.reason for r in read_rejects(spark, paths, feed).collect()) == [
+        "order_date out of range", "order_date out of range", "quantity not positive", "unknown product_id"]
+    assert [str(r.full_date) for r in read_dim_date(spark, paths).orderBy("full_date").collect()] == [
+        "2019-01-02", "2019-01-03"]
+
+
+def test_a_crash_in_the_first_batch_does_not_block_the_load(spark, dims, feed, paths):
+    """What a stopped first batch leaves: task files, and whole files without a
+    manifest row."""
+    stage_files(_tx(spark, range(10)), paths.source)
+    fact_stream._prepare(spark, paths, fact_stream.loaded_schema(feed, TransactionKey()))
+    left = os.path.join(paths.loaded, "batch_id=0", "_temporary", "0", "task_0")
+    os.makedirs(left)
+    open(os.path.join(left, "part-00000.parquet"), "w").close()
+    rows = spark.createDataFrame([(3, "3")], "key long, order_id string")
+    rows.write.parquet(os.path.join(paths.loaded, "batch_id=0", "route=fact", "sale_month=201901"))
+    assert _loaded(spark, paths, feed) == []
+    _run(spark, paths, feed, dims)
+    assert [k for k, _ in _loaded(spark, paths, feed)] == list(range(10))
+
+
+def test_a_replayed_batch_replaces_itself(spark, dims, feed, paths):
+    schema = fact_stream.loaded_schema(feed, TransactionKey())
+    fact_stream._prepare(spark, paths, schema)
+    write = make_batch_writer(spark, paths, schema, TransactionKey(), *dims, *RANGE)
+    write(_tx(spark, range(5)), 0)
+    write(_tx(spark, range(3, 8)), 1)
+    once = sorted(map(tuple, read_loaded(spark, paths, schema).collect()), key=repr)
+    write(_tx(spark, range(3, 8)), 1)  # stopped after the commit, before the engine wrote it down
+    assert sorted(map(tuple, read_loaded(spark, paths, schema).collect()), key=repr) == once
+    write(_tx(spark, range(5)), 0)
+    assert [k for k, _ in _loaded(spark, paths, feed)] == list(range(8))
+    assert read_manifest(spark, paths).agg(F.sum("rows_loaded")).first()[0] == 8
+
+
+def test_a_stopped_batch_runs_again(spark, dims, feed, paths, monkeypatch):
+    """The stream stops between the data and the manifest, and starts again."""
+    stage_files(_tx(spark, range(20)), paths.source)
+    real = fact_stream.make_batch_writer
+
+    def stops(*a):
+        write = real(*a)
+
+        def batch(df, n):
+            write(df, n)
+            raise RuntimeError("stopped")
+        return batch
+
+    monkeypatch.setattr(fact_stream, "make_batch_writer", stops)
+    with pytest.raises(Exception, match="stopped"):
+        _run(spark, paths, feed, dims)
+    monkeypatch.setattr(fact_stream, "make_batch_writer", real)
+    _run(spark, paths, feed, dims)
+    assert [k for k, _ in _loaded(spark, paths, feed)] == list(range(20))
+    assert read_manifest(spark, paths).agg(F.sum("rows_in")).first()[0] == 20
+
+
+def test_a_hot_day_comes_in_several_bounded_batches(spark, dims, feed, paths):
+    stage_files(_tx(spark, range(600), day=dt.date(2020, 2, 2)).coalesce(1), paths.source, records_per_file=100)
+    m = _run(spark, paths, feed, dims, bytes_per_trigger=1)
+    assert len(m) >= 6 and max(r.rows_in for r in m) <= 100
+    assert read_fact(spark, paths, feed).count() == 600
+
+
+def test_metrics_of_more_than_a_hundred_batches(spark, dims, feed, paths):
+    schema = fact_stream.loaded_schema(feed, TransactionKey())
+    fact_stream._prepare(spark, paths, schema)
+    cust, prod = (d.coalesce(1).checkpoint() for d in dims)
+    write = make_batch_writer(spark, paths, schema, TransactionKey("order_id", dated=True), cust, prod, *RANGE)
+    for n in range(103):
+        write(_tx(spark, [n], day=dt.date(2019 + n % 6, 1 + n % 12, 3)).coalesce(1), n)
+    m = read_manifest(spark, paths)
+    assert m.count() == 103 and m.agg(F.sum("rows_in"), F.sum("rows_loaded")).first() == (103, 103)
+    assert read_fact(spark, paths, feed).count() == 103
+
+
+def test_ids_chain_over_batches(spark, dims, feed, paths, monkeypatch):
+    """Rows of equal hash in one month get the next places of its chain."""
+    from sparkmart.operators.surrogate import sale_base
+    monkeypatch.setattr(fact_stream, "sale_base", lambda: sale_base(hashes=2))
+    for ids in (range(6), range(4, 12), range(12, 14)):
+        stage_files(_tx(spark, ids, day=dt.date(2020, 2, 2)), paths.source)
+        _run(spark, paths, feed, dims)
+    found = [r.sale_id for r in read_fact(spark, paths, feed).select("sale_id").collect()]
+    assert len(found) == len(set(found)) == 14
+    assert {i % 256 for i in found} == set(range(max(i % 256 for i in found) + 1))
