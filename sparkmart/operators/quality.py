@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.dates import date_key
+from sparkmart.schemas import GENDERS
+
+# The days of the week (Sunday is 1) that are weekend.
+WEEKEND = (1, 7)
 
 
 def _key_set(c: str) -> Column:
@@ -68,53 +72,80 @@ def enrich_with_flags(tx: DataFrame, customers: DataFrame, products: DataFrame)
                         (F.col("product_price") * F.col("quantity")).cast("decimal(18,2)")))
 
 
-def _count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+def _not_null(table: str, *columns: str) -> list[tuple[str, Column]]:
+    return [(f"{table}.{c} not null", F.col(c).isNull()) for c in columns]
 
 
-def constraint_violations(fact: DataFrame, product: DataFrame, store: DataFrame,
-                          dates: DataFrame, customer: DataFrame,
-                          date_from: str, date_to: str) -> DataFrame:
-    """One (rule, violations) row per NOT NULL / CHECK / PK / FK rule.
+def _check(rule: str, holds: Column) -> list[tuple[str, Column]]:
+    """A CHECK: what is unknown passes."""
+    return [(rule, ~F.coalesce(holds, F.lit(True)))]
+
+
+def _reference(table: str, key: str, parent: str) -> list[tuple[str, Column]]:
+    """A foreign key, looked up by ``_looked_up``; a null key refers to nothing."""
+    return [(f"{table}.{key} -> {parent}", F.col(key).isNotNull() & F.col(f"__{key}").isNull())]
 
-    Row-level rules are one aggregate over the fact; key rules are anti-joins
-    and distinct counts; the results are unioned (a handful of rows).
-    """
-    d = F.col("order_date")
-    row_rules = fact.agg(
-        _count_if(F.col("order_id").isNull()).alias("fact.order_id not null"),
-        _count_if(d.isNull()).alias("fact.order_date not null"),
-        _count_if(F.col("quantity").isNull() | (F.col("quantity") <= 0)).alias("fact.quantity > 0"),
-        _count_if(F.col("unit_price").isNull() | (F.col("unit_price") <= 0))
-        .alias("fact.unit_price > 0"),
-        _count_if((d < F.lit(date_from).cast("date")) | (d > F.lit(date_to).cast("date")))
-        .alias("dim_date.date_range"))
-    names = row_rules.columns
-    stacked = row_rules.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("violations")) for n in names]))
-        .alias("r")).select("r.rule", "r.violations")
-
-    def fk(name: str, child: DataFrame, key: str, parent: DataFrame, pkey: str) -> DataFrame:
-        orphans = child.select(key).filter(F.col(key).isNotNull()) \
-            .join(parent.select(F.col(pkey).alias(key)), key, "left_anti")
-        return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("violations")) \
-            .select(F.lit(name).alias("rule"), "violations")
-
-    def pk(name: str, t: DataFrame, key: str) -> DataFrame:
-        dups = t.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        return dups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")
-                        .alias("violations")).select(F.lit(name).alias("rule"), "violations")
 
+def _looked_up(child: DataFrame, *parents: tuple[str, DataFrame]) -> DataFrame:
+    """``child`` with a flag ``__<key>`` where its key is in the parent. Keys of
+    parents are made distinct, so no row comes twice."""
+    for key, parent in parents:
+        child = child.join(parent.select(key).distinct().withColumn(f"__{key}", F.lit(True)), key, "left")
+    return child
+
+
+def _profile(table: str, rows: DataFrame, pk: str, rules: list[tuple[str, Column]]) -> DataFrame:
+    """(rule, violations) of one table in one pass: flags of all rules are summed
+    by primary key, which counts repeats of the key as well, then over all keys.
+    The first sum is combined on the mappers, so one hot key is no large group.
+    A row breaks the primary key if its key is null or another row has it too
+    (of n such rows, n - 1)."""
+    flags = [f"f{i}" for i in range(len(rules))]
+    flagged = rows.select(F.col(pk).alias("k"), *[broken.cast("int").alias(f) for f, (_, broken) in zip(flags, rules)])
+    by_key = flagged.groupBy("k").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
+    repeats = F.sum(F.when(F.col("k").isNull(), F.col("n")).otherwise(F.col("n") - 1))
+    total = by_key.agg(repeats.alias("k"), *[F.sum(f).alias(f) for f in flags])
+    named = [(f"{table} primary key", "k"), *((rule, f) for f, (rule, _) in zip(flags, rules))]
+    return total.select(F.explode(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("violations"))
+        for rule, c in named])).alias("r")).select("r.rule", "r.violations")
+
+
+def constraint_violations(fact: DataFrame, product: DataFrame, store: DataFrame,
+                          dates: DataFrame, customer: DataFrame, transactions: DataFrame,
+                          date_from: str, date_to: str, gender: str = "gender",
+                          genders: tuple[str, ...] = GENDERS) -> DataFrame:
+    """One (rule, violations) row for each NOT NULL, CHECK, primary key and foreign
+    key of the schema. Each table is read once: all its rules are flags of one
+    scan, its foreign keys flags of left joins with the parents' keys."""
+    in_range = F.col("full_date").between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date"))
     parts = [
-        stacked,
-        fk("fact.product_id -> dim_product", fact, "product_id", product, "product_id"),
-        fk("fact.store_id -> dim_store", fact, "store_id", store, "store_id"),
-        fk("fact.date_id -> dim_date", fact, "date_id", dates, "date_id"),
-        fk("fact.customer_id -> dim_customer", fact, "customer_id", customer, "customer_id"),
-        fk("dim_product.store_id -> dim_store", product, "store_id", store, "store_id"),
-        pk("dim_product primary key", product, "product_id"),
-        pk("dim_customer primary key", customer, "customer_id"),
-        pk("dim_store primary key", store, "store_id"),
+        _profile("dim_customer", customer, "customer_id",
+                 _not_null("dim_customer", "customer_name")
+                 + _check(f"dim_customer.{gender} allowed", F.col(gender).isin(*genders))),
+        _profile("dim_store", store, "store_id", _not_null("dim_store", "store_name")),
+        _profile("dim_product", _looked_up(product, ("store_id", store)), "product_id",
+                 _not_null("dim_product", "product_name", "product_price", "supplier_id", "supplier_name")
+                 + _reference("dim_product", "store_id", "dim_store")),
+        _profile("dim_date", dates, "date_id",
+                 _not_null("dim_date", "full_date", "year", "quarter", "month", "month_name", "day_of_month",
+                           "day_of_week", "day_name")
+                 + _check("dim_date.is_weekend generated",
+                          F.col("is_weekend") == F.col("day_of_week").isin(*WEEKEND))
+                 + _check("dim_date.date_range", in_range)),
+        _profile("transactions",
+                 _looked_up(transactions, ("product_id", product), ("customer_id", customer)), "order_id",
+                 _not_null("transactions", "order_date", "product_id", "customer_id", "quantity")
+                 + _reference("transactions", "product_id", "dim_product")
+                 + _reference("transactions", "customer_id", "dim_customer")),
+        _profile("fact",
+                 _looked_up(fact, ("date_id", dates), ("customer_id", customer), ("product_id", product),
+                            ("store_id", store)), "sale_id",
+                 _not_null("fact", "order_id", "order_date", "quantity", "unit_price")
+                 + _check("fact.quantity > 0", F.col("quantity") > 0)
+                 + _check("fact.unit_price > 0", F.col("unit_price") > 0)
+                 + _reference("fact", "date_id", "dim_date") + _reference("fact", "customer_id", "dim_customer")
+                 + _reference("fact", "product_id", "dim_product") + _reference("fact", "store_id", "dim_store")),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -42,9 +42,8 @@ def with_sale_id(fact: DataFrame, content: tuple[str, ...] = CONTENT, date: str
                  hashes: int = HASHES) -> DataFrame:
     """``fact`` with its ``sale_id``. Rows of equal content are as many rows of one
     chain; a row without a date has no id."""
-    w = Window.partitionBy("__base").orderBy(*content)
-    based = fact.withColumn("__base", sale_base(content, date, hashes))
-    dated = based.filter(F.col("__base").isNotNull()) \
-        .withColumn("sale_id", chained("__base", F.row_number().over(w) - 1))
-    undated = based.filter(F.col("__base").isNull()).withColumn("sale_id", F.lit(None).cast("long"))
-    return dated.unionByName(undated).drop("__base")
+    undated = F.when(F.col("__base").isNull(), F.xxhash64(*content))  # spread over many tasks
+    w = Window.partitionBy("__base", undated).orderBy(*content)
+    return fact.withColumn("__base", sale_base(content, date, hashes)) \
+        .withColumn("sale_id", F.when(F.col("__base").isNotNull(), chained("__base", F.row_number().over(w) - 1))) \
+        .drop("__base")

@@ -176,7 +176,8 @@ def make_batch_writer(spark: SparkSession, paths: StreamPaths, schema: T.StructT
         rows = e.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in out if c not in ("key", "unit_price",
                                                                                               "sale_month")],
                         F.col(key.column).alias("key"), F.col("product_price").alias("unit_price"),
-                        _month("order_date").alias("sale_month"), "copies")
+                        _month("order_date").alias("sale_month"), "copies") \
+            .hint("rebalance", "route", "sale_month")  # a file per month; AQE splits a large one
         took = Observation()
         is_fact = F.col("route") == "fact"
         counted = rows.observe(took, F.sum("copies").alias("rows_in"), F.count_if(is_fact).alias("rows_loaded"),
