@@ -19,6 +19,7 @@ from sparkmart.functions import (
     season_order, spike_label, volatility_pct, year_month,
 )
 from sparkmart.operators.joins import attach, join_bounded
+from sparkmart.operators.rollup import rollup_distinct
 from sparkmart.sources.testdata import Star
 
 
@@ -146,35 +147,43 @@ def q05_monthly_volatility(star: Star) -> DataFrame:
 def q07_revenue_rollup(star: Star, include_grand_total: bool = True) -> DataFrame:
     """Revenue, distinct orders and order value at five ROLLUP levels.
 
-    Subtotal rows are labelled by GROUPING() bits, never by NULL tests, so a
-    real NULL key cannot be mistaken for a subtotal. The literal reference
-    keeps the grand total (its HAVING tests a never-NULL alias);
+    The fact is rolled up on ids, level from level (``rollup_distinct``); names
+    are joined to the sums. Subtotal rows are labelled by their level, never by
+    NULL tests, so a real NULL key cannot be mistaken for a subtotal. The literal
+    reference keeps the grand total (its HAVING tests a never-NULL alias);
     ``include_grand_total=False`` gives the intended variant.
     """
-    f = star.fact.select("order_id", "order_date", "store_id", "product_id", "total_sale")
-    f = attach(f, star.dim_store, "store_id", ["store_name"], bounded=True)
-    f = attach(f, star.dim_product, "product_id", ["supplier_name", "product_name"])
-    f = f.select(F.year("order_date").alias("y"), "store_name", "supplier_name",
-                 "product_name", "order_id", "total_sale")
-    agg = (f.rollup("y", "store_name", "supplier_name", "product_name")
-           .agg(F.sum("total_sale").alias("rev"),
-                F.countDistinct("order_id").alias("number_of_orders"),
-                F.grouping_id().alias("gid")))
+    # rows of one name are one group: the smallest id of a name stands for it
+    stores, products = star.dim_store, star.dim_product
+    named = {key: dim.groupBy(name).agg(F.min(dim_id).alias(key)) for key, dim, dim_id, name in (
+        ("st", stores, "store_id", "store_name"), ("su", products, "supplier_id", "supplier_name"),
+        ("pr", products, "product_id", "product_name"))}
+
+    def with_id(dim: DataFrame, name: str, key: str) -> DataFrame:
+        ids = named[key].withColumnRenamed(name, "__name")
+        return dim.join(ids, dim[name].eqNullSafe(F.col("__name"))).drop("__name")
+
+    products = with_id(with_id(products, "product_name", "pr"), "supplier_name", "su")
+    f = star.fact.select(F.year("order_date").alias("y"), "order_id", "store_id", "product_id", "total_sale")
+    f = attach(f, with_id(stores, "store_name", "st"), "store_id", ["st"])
+    f = attach(f, products, "product_id", ["pr", "su"])
+    sums = rollup_distinct(f, ["y", "st", "su", "pr"], "order_id", "total_sale")
     if not include_grand_total:
-        agg = agg.filter(F.col("gid") != 15)
-
-    def label(c: str, bit: int, text: str):
-        return F.when((F.col("gid").bitwiseAND(bit)) != 0, F.lit(text)) \
-            .otherwise(F.col(c).cast("string"))
-
-    return (agg.select(
-        label("y", 8, "Total").alias("year"),
-        label("store_name", 4, "All Stores").alias("store_name"),
-        label("supplier_name", 2, "All Suppliers").alias("supplier_name"),
-        label("product_name", 1, "All Products").alias("product_name"),
-        round2("rev").alias("total_revenue"),
-        "number_of_orders",
-        round2(safe_divide("rev", "number_of_orders")).alias("avg_order_value"))
+        sums = sums.filter(F.col("level") > 0)
+    for key, lookup in named.items():
+        sums = sums.join(lookup, key, "left")
+
+    def label(c: str, kept: int, text: str):
+        return F.when(F.col("level") < kept, F.lit(text)).otherwise(F.col(c).cast("string"))
+
+    return (sums.select(
+        label("y", 1, "Total").alias("year"),
+        label("store_name", 2, "All Stores").alias("store_name"),
+        label("supplier_name", 3, "All Suppliers").alias("supplier_name"),
+        label("product_name", 4, "All Products").alias("product_name"),
+        round2("total").alias("total_revenue"),
+        F.col("n").alias("number_of_orders"),
+        round2(safe_divide("total", "n")).alias("avg_order_value"))
         .orderBy("year", "store_name", "supplier_name", "product_name"))
 
 
@@ -255,7 +264,10 @@ def q10_store_quarter_view(star: Star, year: int | None = None) -> DataFrame:
     f = star.fact
     if year is not None:
         f = f.filter(_year_range(year))
-    f = f.select("store_id", F.year("order_date").alias("sale_year"),
+        if "sale_year" in f.columns:
+            f = f.filter(F.col("sale_year") == year)
+    stored = "sale_year" in f.columns  # a stored fact is partitioned by it: a filter on it prunes
+    f = f.select("store_id", "sale_year" if stored else F.year("order_date").alias("sale_year"),
                  F.quarter("order_date").alias("quarter"),
                  "order_id", "product_id", "quantity", "total_sale")
     keys = ["store_id", "sale_year", "quarter"]

@@ -170,6 +170,45 @@ def test_event_gap_across_partitions_brute_force(spark, parts):
     assert got == exp
 
 
+def test_any_number_of_event_types(spark):
+    """Seventy types, hot minutes, equal times, null users and types."""
+    import datetime as dt
+    import random
+    rnd = random.Random(70)
+    base = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [(i, base + dt.timedelta(seconds=rnd.choice([7, 65, 3000, rnd.randrange(0, 7200)])),
+             rnd.choice([None, 1, 2, 3, 4]), rnd.choice([None, *[f"t{k:02d}" for k in range(70)]])) for i in range(900)]
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    got = {(r.type1, r.type2): (r.times_together, r.min_minutes_apart)
+           for r in event_type_affinity(ev, min_freq=1, top_n=5000).collect()}
+    exp = {}
+    for _, t1, u1, a in rows:
+        for _, t2, u2, b in rows:
+            if None not in (u1, u2, a, b) and a < b and u1 != u2 and t1.replace(minute=0, second=0) == \
+                    t2.replace(minute=0, second=0):
+                d = int(abs((t2 - t1).total_seconds()) // 60)
+                c, m = exp.get((a, b), (0, d))
+                exp[(a, b)] = (c + 1, min(m, d))
+    assert len(exp) > 2000 and got == exp
+
+
+@pytest.mark.parametrize("skew", [0.0, 1.5])
+def test_partner_counts_match_the_theta_join(spark, skew):
+    import random
+    from sparkmart.operators.affinity import partner_counts
+    rnd = random.Random(3)
+    items = list(range(30))
+    rows = [(rnd.randrange(4), rnd.choices(items, [1 / (k + 1) ** skew for k in items])[0], rnd.randrange(60))
+            for _ in range(400)] + [(None, 1, 1), (1, None, 1), (1, 1, None)]
+    exp = {}
+    for b1, i1, g1 in rows:
+        for b2, i2, g2 in rows:
+            if None not in (b1, i1, g1, i2, g2) and b1 == b2 and g1 != g2 and i1 < i2:
+                exp[i1] = exp.get(i1, 0) + 1
+    got = partner_counts(spark.createDataFrame(rows, "b int, i int, g int"), "b", "i", "g")
+    assert {r.i: r.matches for r in got.collect()} == exp
+
+
 @pytest.mark.parametrize("prune_share,seed_items", [(1.0, 3), (1.0, 50), (0.0, 3), (1.0, 1)])
 def test_top_pair_frequency_matches_brute_force(spark, prune_share, seed_items):
     import random
