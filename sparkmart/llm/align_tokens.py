@@ -41,7 +41,7 @@ from sparkmart.llm.common import uncollected, written
 #: Windows a worker remembers before it starts anew, and the tokens of the longest.
 MEMO, LONGEST = 60_000, 32
 #: Code points of text that are tokenised at once (one longer text alone).
-BATCH = 1 << 19
+BATCH = 1 << 17
 
 #: Ids and sizes are packed: little-endian unsigned integers of 16 or 32 bits.
 PACKED = ("doc_id long, n_a long, n_b long, n_groups long, a_ids binary, b_ids binary, "

@@ -8,17 +8,19 @@ document's component under these links. Equal sets are one node from the start.
    shingles, so of the first shingles of a set in any common order (here: by hash)
    a known number must occur in another set's first ones as well. One aggregate and
    one join over these few shingles leave the sets for which that holds.
-2. *Groups of similar documents.* Sets with an equal min-hash meet the smallest
-   of them and link to it if the similarity, worked out in full, allows. What
-   hangs together is cut by size into groups of at most ``TILE`` members. All
-   members of a group are in one component already, however many near copies there
-   are, so later no document is held against a group it is linked with.
+2. *Groups of similar documents.* Sets with an equal min-hash meet the most
+   typical of them (the one with the most common shingles: of near copies, the
+   text they were made from) and link to it if the similarity, worked out in full,
+   allows. What hangs together is cut by size into groups of at most ``TILE``
+   members; documents of small components are grouped by a min-hash. However
+   many near copies there are, most are one component from here on, and no
+   document is held against others of its own.
 3. *Token-group matrix.* Each group's union of shingles is stored. A document asks
    only groups that hold one of its rarest shingles (those that a partner cannot
-   do without) among their own rarest, fit in length, and belong to a larger
+   do without) among their own rarest, fit in length, and have a member of a larger
    component; a shingle all of whose holders are linked is asked by nobody. If the
-   document's overlap with a group's union stays under 80 % of its own shingles,
-   no member can link, and the group is not opened.
+   document's overlap with a group's union is too small for its own length or
+   for that of the shortest member, no member can link, and the group stays shut.
 4. *Opened groups.* Each member is compared in full; components are joined up.
 
 The order of rarity comes from a sketch of fixed size (``SLOTS`` counters); it
@@ -47,7 +49,7 @@ WORDS, PERCENT = 5, 80
 #: One of so many shingles, beyond those a partner may lack, is looked at first.
 FIRST = 10
 #: Min-hashes of a set.
-KEYS = 3
+KEYS = 4
 #: Most members of a group and, but for one large member, most shingles.
 TILE, TILE_TOKENS = 32, 1 << 17
 #: Counters of the sketch that orders shingles by rarity.
@@ -176,34 +178,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
 
-def _stars(sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` of documents with the smallest that shares a min-hash."""
-    keyed = sets.select("doc_id", "n", F.posexplode("keys").alias("i", "key"))
-    least = keyed.groupBy("i", "key").agg(F.min(F.struct("doc_id", "n")).alias("m"), F.count("*").alias("c")) \
-        .where("c > 1").select("i", "key", F.col("m.doc_id").alias("b"), F.col("m.n").alias("bn"))
-    pairs = keyed.join(least, ["i", "key"]) \
-        .where((F.col("doc_id") != F.col("b"))
-               & (100 * F.least("n", "bn") >= percent * F.greatest("n", "bn"))) \
-        .select(F.col("doc_id").alias("a"), "b").distinct()
-    return _verified(pairs, sets, percent)
-
-
-def _grouped(sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """``sets`` with label (component so far), size (of it) and gid, the group: the
-    smallest doc_id among members of one component and about one length."""
-    small = sets.select("doc_id", "n").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
-        .select("doc_id", "n", F.coalesce("label", "doc_id").alias("label"),
-                F.floor(F.log("n") / F.log(F.lit(1.1))).alias("band"))
-    small = written(small, "jaccard-labels")
-    sizes = small.groupBy("label").agg(F.count("*").alias("size"))
-    tiles = small.groupBy("label", "band").agg(
-        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_TOKENS)).alias("tiles"))
-    dealt = small.join(tiles, ["label", "band"]).withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
-    groups = dealt.groupBy("label", "band", "tile").agg(F.min("doc_id").alias("gid"))
-    of = dealt.join(groups, ["label", "band", "tile"]).join(sizes, "label").select("doc_id", "label", "size", "gid")
-    return sets.drop("keys").join(of, "doc_id")
-
-
 def _sketch(sets: DataFrame):
     """How often shingles fall into each slot, over all sets."""
     import numpy as np
@@ -224,15 +198,63 @@ def _sketch(sets: DataFrame):
     return np.minimum(out, (1 << 31) - 1).astype(np.int32)
 
 
-def _rarest(members: DataFrame, percent: int) -> DataFrame:
+def _typical(sets: DataFrame, sketch) -> DataFrame:
+    """doc_id, n, keys, typical: the mean logarithm of how common a set's shingles
+    are by the sketch (a broadcast)."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        common = np.log2(1.0 + sketch.value)
+        for batch in batches:
+            out = [float(common[s.values.to_numpy() & (SLOTS - 1)].mean()) for s in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.float64())],
+                                             names=["doc_id", "n", "keys", "typical"])
+
+    return sets.select("doc_id", "n", "keys", "tokens") \
+        .mapInArrow(run, "doc_id long, n long, keys array<long>, typical double")
+
+
+def _stars(sets: DataFrame, sketch, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` of documents with the most typical that shares a min-hash."""
+    keyed = _typical(sets, sketch).select("doc_id", "n", "typical", F.posexplode("keys").alias("i", "key"))
+    leader = keyed.groupBy("i", "key").agg(F.max(F.struct("typical", "doc_id", "n")).alias("m"), F.count("*").alias("c")) \
+        .where("c > 1").select("i", "key", F.col("m.doc_id").alias("b"), F.col("m.n").alias("bn"))
+    pairs = keyed.join(leader, ["i", "key"]) \
+        .where((F.col("doc_id") != F.col("b"))
+               & (100 * F.least("n", "bn") >= percent * F.greatest("n", "bn"))) \
+        .select(F.col("doc_id").alias("a"), "b").distinct()
+    return _verified(pairs, sets, percent)
+
+
+def _grouped(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """``sets`` with label (component so far), size (of it) and gid, the group: the
+    smallest doc_id among members of about one length that are of one large
+    component or share a min-hash."""
+    small = sets.select("doc_id", "n", F.element_at("keys", 1).alias("key")) \
+        .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
+        .select("doc_id", "n", "key", F.coalesce("label", "doc_id").alias("label"),
+                F.floor(F.log("n") / F.log(F.lit(1.1))).alias("band"))
+    sizes = small.groupBy("label").agg(F.count("*").alias("size"))
+    small = small.join(sizes, "label")
+    large = F.col("size") >= TILE
+    small = written(small.select("doc_id", "n", "label", "size", "band", large.alias("large"),
+                                 F.when(large, F.col("label")).otherwise(F.col("key")).alias("home")), "jaccard-labels")
+    of_home = ["large", "home", "band"]
+    tiles = small.groupBy(*of_home).agg(
+        F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_TOKENS)).alias("tiles"))
+    dealt = small.join(tiles, of_home).withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
+    groups = dealt.groupBy(*of_home, "tile").agg(F.min("doc_id").alias("gid"))
+    of = dealt.join(groups, [*of_home, "tile"]).select("doc_id", "label", "size", "gid")
+    return sets.drop("keys").join(of, "doc_id")
+
+
+def _rarest(members: DataFrame, sketch, percent: int) -> DataFrame:
     """doc_id, n, label, size, gid and each of the rarest shingles of which any
     partner shares one."""
-    shared = members.sparkSession.sparkContext.broadcast(_sketch(members))  # of fixed size
-
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        order = shared.value
+        order = sketch.value
         for batch in batches:
             out = []
             for s in batch.column(5):
@@ -247,36 +269,39 @@ def _rarest(members: DataFrame, percent: int) -> DataFrame:
     return rare.select("doc_id", "n", "label", "size", "gid", F.explode("tokens").alias("token"))
 
 
-def _asked(members: DataFrame, percent: int) -> DataFrame:
+def _asked(members: DataFrame, sketch, percent: int) -> DataFrame:
     """Pairs ``doc_id``, ``gid``: the groups a document has to be held against.
     Of two components the smaller one asks (of equal ones that with the smaller
-    label), so each pair of documents is met from one side."""
-    rare = written(_rarest(members, percent), "jaccard-rarest")
+    label), so a document asks groups with a member of a larger component."""
+    rare = written(_rarest(members, sketch, percent), "jaccard-rarest")
     by = F.struct("size", "label")
     holders = rare.groupBy("token").agg(F.max(by).alias("top"), F.min(by).alias("low")).where("top <> low") \
         .select("token", "top")
-    lengths = members.groupBy("gid").agg(F.min("n").alias("short"), F.max("n").alias("long"))
-    matrix = rare.select("token", "gid", by.alias("of")).distinct().join(holders.select("token"), "token") \
-        .join(lengths, "gid")
+    groups = members.groupBy("gid").agg(F.min("n").alias("short"), F.max("n").alias("long"), F.max(by).alias("of"))
+    matrix = rare.select("token", "gid").distinct().join(holders.select("token"), "token").join(groups, "gid")
     asking = rare.select("token", "doc_id", "n", by.alias("own")).join(holders, "token").where("own <> top")
     fits = (F.col("own") < F.col("of")) & (100 * F.col("long") >= percent * F.col("n")) \
         & (percent * F.col("short") <= 100 * F.col("n"))
     return asking.drop("top").join(matrix, "token").where(fits).select("doc_id", "gid").distinct()
 
 
-def _found(members: DataFrame, percent: int) -> DataFrame:
+def _found(members: DataFrame, sketch, percent: int) -> DataFrame:
     """Links ``a``, ``b`` between documents of different components so far."""
-    asked = written(_asked(members, percent), "jaccard-asked")
+    asked = written(_asked(members, sketch, percent), "jaccard-asked")
     unions = members.join(asked.select("gid").distinct(), "gid", "left_semi") \
-        .groupBy("gid").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
+        .groupBy("gid").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"),
+                            F.min("n").alias("short"))
     own = members.select("doc_id", "n", "tokens")
+    # a member shares at most the overlap with the union and has at least the shortest's length
+    enough = (100 + percent) * F.size(F.array_intersect("tokens", "union")) >= percent * (F.col("n") + F.col("short"))
     qualified = asked.join(own, "doc_id").join(unions, "gid") \
-        .where(F.size(F.array_intersect("tokens", "union")) >= shared_at_least(F.col("n"), percent)) \
+        .where(enough & (F.size(F.array_intersect("tokens", "union")) >= shared_at_least(F.col("n"), percent))) \
         .select("doc_id", "gid")
     qualified = written(qualified, "jaccard-opened")
-    inside = members.select("gid", F.col("doc_id").alias("b"), F.col("n").alias("bn"))
-    pairs = qualified.join(own.select("doc_id", "n"), "doc_id").join(inside, "gid") \
-        .where(100 * F.least("n", "bn") >= percent * F.greatest("n", "bn")).select(F.col("doc_id").alias("a"), "b")
+    inside = members.select("gid", F.col("doc_id").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
+    pairs = qualified.join(members.select("doc_id", "n", "label"), "doc_id").join(inside, "gid") \
+        .where((F.col("label") != F.col("bl")) & (100 * F.least("n", "bn") >= percent * F.greatest("n", "bn"))) \
+        .select(F.col("doc_id").alias("a"), "b")
     return _verified(pairs, members, percent)
 
 
@@ -290,9 +315,10 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     may = nodes.where("node IS NOT NULL").join(_may_link(each), "hi", "left_semi").select(F.col("node").alias("doc_id"))
     may = written(may.distinct(), "jaccard-may-link")
     sets = written(_sets(_kept(texts, may, "doc_id"), words).where("n > 0"), "jaccard-sets")
-    stars = written(_stars(sets, percent), "jaccard-stars")
+    sketch = docs.sparkSession.sparkContext.broadcast(_sketch(sets))  # of fixed size
+    stars = written(_stars(sets, sketch, percent), "jaccard-stars")
     members = written(_grouped(sets, components(stars)), "jaccard-members")
-    labels = components(stars.unionByName(_found(members, percent)))
+    labels = components(stars.unionByName(_found(members, sketch, percent)))
     of = nodes.join(labels, "node", "left").select("hi", "lo", F.coalesce("label", "node").alias("label"))
     return each.join(of, ["hi", "lo"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
