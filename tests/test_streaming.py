@@ -153,7 +153,18 @@ def test_a_hot_day_comes_in_several_bounded_batches(spark, dims, feed, paths):
     assert read_fact(spark, paths, feed).count() == 600
 
 
-def test_metrics_of_more_than_a_hundred_batches(spark, dims, feed, paths):
+@pytest.fixture
+def one_partition(spark):
+    small = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_metrics_of_more_than_a_hundred_batches(spark, dims, feed, paths, one_partition):
     schema = fact_stream.loaded_schema(feed, TransactionKey())
     fact_stream._prepare(spark, paths, schema)
     cust, prod = (d.coalesce(1).checkpoint() for d in dims)
