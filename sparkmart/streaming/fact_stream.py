@@ -130,14 +130,15 @@ def _month(c: str) -> Column:
 
 
 def _known(loaded: DataFrame, batch: DataFrame, batch_id: int, key: TransactionKey) -> DataFrame:
-    """key, sale_id of facts of other batches that a row of ``batch`` may repeat or
-    share an id base with."""
+    """key, sale_id of facts of earlier batches that a row of ``batch`` may repeat or
+    share an id base with. A batch starts when all earlier ones are committed, so
+    they need no look into the manifest."""
     k = key.column
     edge = [F.min(_month("order_date")), F.max(_month("order_date"))]
     if not key.dated:
         edge += [F.min(k), F.max(k)]
     lo, hi, *ids = batch.agg(*edge).first()
-    facts = loaded.filter((F.col("route") == "fact") & (F.col("batch_id") != batch_id))
+    facts = loaded.filter((F.col("route") == "fact") & (F.col("batch_id") < batch_id))
     if lo is None:
         return facts.select("key", "sale_id").limit(0)
     month = F.col("sale_month").between(lo, hi)
@@ -155,7 +156,7 @@ def make_batch_writer(spark: SparkSession, paths: StreamPaths, schema: T.StructT
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         t0 = time.time()
-        known = _known(read_loaded(spark, paths, schema), batch, batch_id, key)
+        known = _known(spark.read.schema(schema).parquet(paths.loaded), batch, batch_id, key)
         others = [c for c in batch.columns if c != key.column]
         first = batch.groupBy(key.column) \
             .agg(F.min(F.struct(*others)).alias("first"), F.count("*").alias("copies")) \

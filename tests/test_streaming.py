@@ -155,13 +155,10 @@ def test_a_hot_day_comes_in_several_bounded_batches(spark, dims, feed, paths):
 
 @pytest.fixture
 def one_partition(spark):
-    small = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}
-    before = {k: spark.conf.get(k) for k in small}
-    for k, v in small.items():
-        spark.conf.set(k, v)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
     yield
-    for k, v in before.items():
-        spark.conf.set(k, v)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_metrics_of_more_than_a_hundred_batches(spark, dims, feed, paths, one_partition):
