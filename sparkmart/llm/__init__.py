@@ -1,5 +1,5 @@
 """Operators for preparing training text at scale.
 
-Ten operators, one module each, and one module (``queries``) that registers a
+Thirteen operators, one module each, and one module (``queries``) that registers a
 query per operator. Nothing outside this folder imports it.
 """
