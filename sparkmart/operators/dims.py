@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.dates import calendar_columns, date_key
 from sparkmart.operators.dedupe import dedupe_first_wins
+from sparkmart.operators.ordering import with_position
 from sparkmart.schemas import GENDERS
 
 STORE_LOCATION = "Location"  # fixed value: the loader's constant location text
@@ -15,14 +16,16 @@ STORE_LOCATION = "Location"  # fixed value: the loader's constant location text
 def build_dim_store(products: DataFrame, ordinal: list[str]) -> DataFrame:
     """One store per distinct store name; ids 1..k by first appearance.
 
-    The distinct-name table has one row per store (a handful), so numbering
-    it in one window is bounded; the big product input is only aggregated.
+    Stores come from user files and have no bound, so they are numbered over
+    range partitions, not in one window.
     """
-    first = F.min(F.struct(*[F.col(c) for c in ordinal])).alias("__first")
-    names = products.filter(F.col("store_name").isNotNull()).groupBy("store_name").agg(first)
-    w = Window.orderBy("__first")
-    return names.select(F.row_number().over(w).cast("int").alias("store_id"),
-                        "store_name", F.lit(STORE_LOCATION).alias("location"))
+    first = [F.min(F.struct(*[F.col(c) for c in ordinal])).alias("__first")]
+    names = products.filter(F.col("store_name").isNotNull()).groupBy("store_name").agg(*first) \
+        .select("store_name", *[F.col(f"__first.{c}").alias(f"__o{i}") for i, c in enumerate(ordinal)])
+    # two names never stand in one row of a file
+    numbered = with_position(names, [f"__o{i}" for i in range(len(ordinal))], "store_id")
+    return numbered.select(F.col("store_id").cast("int").alias("store_id"), "store_name",
+                           F.lit(STORE_LOCATION).alias("location"))
 
 
 def build_dim_product(products: DataFrame, stores: DataFrame, ordinal: list[str]) -> DataFrame:
