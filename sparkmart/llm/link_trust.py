@@ -14,14 +14,16 @@ of their host:
   together. A host that neither reaches has no evidence against it: allowed.
 
 Seeds weigh as many pages as they have. Both walks are one table of ranks, keyed
-by (walk, host): a round is one join with the edges and one sum, pre-aggregated;
-every few rounds the ranks are written to the shared folder. Edges are counted
+by (walk, host), with what has come to a host and what it hands on next: a round is
+one join with the edges and one sum, pre-aggregated. Every few rounds the table is
+written to the shared folder, and the walks end when what is still on its way is
+under ``tolerance`` of all that set out, however far it has gone. Edges are counted
 per pair of hosts before any walk, so a host with a third of all pages is one row
 for each neighbour. Ranks that reach a host without edges end there.
 
 Cases: a null url, or one without ``://``, has empty host and path, no rule and no
 evidence; null html has no links; repeated rows each get their verdict and weigh
-as pages; ties between rules of one length go to block, then by the rule's text;
+as pages; very long urls and pages are read whole; ties between rules of one length go to block, then by the rule's text;
 an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm.common import ascii_lower, written
 
-DAMPING, ROUNDS, WRITE_EVERY, THRESHOLD = 0.85, 20, 5, 0.5
+DAMPING, TOLERANCE, WRITE_EVERY, THRESHOLD = 0.85, 1e-6, 5, 0.5
 #: An address in a page: absolute, or with the page's own scheme.
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -88,7 +90,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(ties).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """host, trust, distrust. ``seeds``: walk ('trust' or 'distrust'), host, n."""
     both = edges.select(F.lit("trust").alias("walk"), F.col("src").alias("host"), F.col("dst").alias("next"), "w") \
         .unionByName(edges.select(F.lit("distrust").alias("walk"), F.col("dst").alias("host"),
@@ -97,28 +99,32 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     steps = written(both.join(out, ["walk", "host"]).select(
         "walk", "host", "next", (damping * F.col("w") / F.col("all")).alias("p")), "host-steps")
     total = seeds.groupBy("walk").agg(F.sum("n").alias("all"))
-    start = written(seeds.join(total, "walk").select("walk", "host", (F.col("n") / F.col("all")).alias("r")), "seeds")
-    again = start.select("walk", "host", ((1 - damping) * F.col("r")).alias("r"))
-    ranks = start
-    for k in range(1, rounds + 1):
-        moved = ranks.join(steps, ["walk", "host"]).select(
-            "walk", F.col("next").alias("host"), (F.col("r") * F.col("p")).alias("r"))
-        ranks = moved.unionByName(again).groupBy("walk", "host").agg(F.sum("r").alias("r"))
-        if k % WRITE_EVERY == 0 or k == rounds:
-            ranks = written(ranks, "ranks")
+    share = (1 - damping) * F.col("n") / F.col("all")
+    ranks = written(seeds.join(total, "walk").select("walk", "host", share.alias("r"), share.alias("next")), "ranks")
+    moving = 1.0
+    while moving > tolerance * (1 - damping):
+        for _ in range(WRITE_EVERY):
+            came = ranks.select("walk", "host", F.col("next").alias("r")).join(
+                steps, ["walk", "host"]).select("walk", F.col("next").alias("host"), (F.col("r") * F.col("p")).alias("r"))
+            ranks = came.withColumn("next", F.col("r")) \
+                .unionByName(ranks.select("walk", "host", "r", F.lit(0.0).alias("next"))) \
+                .groupBy("walk", "host").agg(F.sum("r").alias("r"), F.sum("next").alias("next"))
+        ranks = written(ranks, "ranks")
+        left = ranks.groupBy("walk").agg(F.sum("next").alias("left")).agg(F.max("left")).first()[0]
+        moving = left or 0.0
     of = lambda walk: F.coalesce(F.sum(F.when(F.col("walk") == walk, F.col("r"))), F.lit(0.0))
     return ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
 
 
 def verdicts(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = THRESHOLD,
-             damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+             damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust of each page. ``rules``
     are (verdict, rule) pairs, as ("block", "example.org/es/")."""
     ruled = written(_ruled(pages, rules), "ruled-pages")
     seeds = ruled.where("fit is not null").groupBy(
         F.when(F.col("fit.verdict") == "allow", "trust").otherwise("distrust").alias("walk"), "host") \
         .agg(F.count("*").cast("double").alias("n"))
-    ranks = spread(host_edges(pages), seeds, damping, rounds)
+    ranks = spread(host_edges(pages), seeds, damping, tolerance)
     both = F.col("trust") + F.col("distrust")
     host = ranks.select("host", "trust", "distrust",
                         F.when(F.col("trust") >= threshold * both, "allow").otherwise("block").alias("by_host"))

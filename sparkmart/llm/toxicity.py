@@ -1,39 +1,48 @@
 """Toxicity by subword-bag embeddings and a linear softmax.
 
-A word is a run of letters, lower-cased, between two marks; its vector is the
-mean of the vectors of its character n-grams (three to six characters, marks
+A word is a run of letters, lower-cased, between two marks (digits and ``@$*!``
+between letters stand for letters, as in m0r0n); its vector is the mean of the vectors of its character n-grams (three to six characters, marks
 included, hashed into ``buckets``). A span of ``span`` words is the mean of its
 words, where a word that comes again adds nothing (so one repeated word can't
 carry a span), and goes through a linear softmax; embeddings and softmax are trained
 jointly, in numpy, by Adagrad. A misspelling that was never seen shares most of
 its n-grams with the word it stands for, and so its vector.
 
-A document scores as its worst span, so a rude paragraph is not thinned by a
-long text around it. Labels belong to documents, so training alternates: after
-the first pass a toxic document answers for its worst span and for the spans
-already held toxic only; a clean one answers for all.
+A document is judged by its worst span, so a rude paragraph is not thinned by a
+long text around it, and by the evidence of its distinct words: how far each would
+lift a span over half the bias, summed, over the root of how many there are (chance
+adds up with length). A logistic of the two is fitted on a quarter of the labelled rows with embeddings from the
+others; then the embeddings are fitted on all. Labels belong to documents, so
+training alternates: after the first pass a toxic document answers for its worst
+span and for the spans already held toxic only; a clean one answers for all.
 
 Fitting reads a bounded sample of the labelled rows (``labelled``, those with the
 smallest hashes of their ids), in one task. Scoring reads every whole text, as
 arrays of characters; it needs the product of embeddings and softmax only, one
 number for each bucket, which all tasks get (``buckets`` floats, fixed in size).
 
-Cases: null and empty texts score as the softmax of its bias; texts without letters
-likewise; labels that are null are not learnt; without labels of both classes the
-score is the share of toxic labels (0 if there are none); repeated rows score alike;
-an empty table gives an empty result; extra columns are ignored.
+Cases: null and empty texts score by the bias, as a span without evidence; texts
+without letters likewise; very long texts are worked off in pieces; labels that are
+null are not learnt; without labels of both classes the score is the share of toxic
+labels (0 if there are none); with too few to hold a quarter back the worst span
+alone decides; repeated rows score alike, and of rows that share a doc_id and a label
+one text (the first in order) is learnt; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
 import io
-from dataclasses import dataclass
+import unicodedata
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.common import filled
+
 #: Most labelled rows that a fit reads.
 LABELLED = 6_000
 SPAN, BUCKETS_LOG2, DIM, SMALLEST, LARGEST = 16, 17, 8, 3, 6
@@ -41,21 +50,39 @@ EPOCHS, BATCH, RATE = 3, 512, 0.5
 #: A small sample is gone over more often, in smaller batches, for as many steps.
 STEPS, SMALL_BATCH = 400, 32
 THRESHOLD = 0.7
+#: The part of the labelled rows on which evidence is weighed, its penalty and steps.
+POOL_PART, POOL_PENALTY, POOL_STEPS = 4, 3e-4, 50
 #: Characters that are worked off at once, cut between words.
 STEP = 1 << 20
 
 
+#: What may stand for a letter inside a word, besides digits and combining marks.
+STAND_INS = "@$*!"
+
+
 @functools.lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    """For each code point, itself if it is a letter and else a space."""
-    codes = np.arange(0x110000, dtype=np.uint32)
-    keep = np.fromiter((not 0xD800 <= c < 0xE000 and chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-    return np.where(keep, codes, np.uint32(32))
+def _kinds() -> np.ndarray:
+    """For each code point: 2 a letter, 1 what may stand for one, 0 anything else."""
+    def kind(c: int) -> int:
+        if 0xD800 <= c < 0xE000:
+            return 0
+        x = chr(c)
+        return 2 if x.isalpha() else int(x in STAND_INS or unicodedata.category(x) in ("Nd", "Mn", "Mc"))
+
+    return np.fromiter(map(kind, range(0x110000)), np.uint8, 0x110000)
 
 
 def _codes(text: str) -> np.ndarray:
     """The letters of the text, lower-cased, with one space around each word."""
-    c = _letters()[np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)]
+    c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
+    kind = _kinds()[c]
+    doubt = kind == 1
+    if doubt.any():  # they count in runs with a letter on both sides
+        edge = np.flatnonzero(~doubt)
+        at = np.flatnonzero(doubt)
+        after = np.searchsorted(edge, at)
+        kind[at] = np.minimum(kind[edge[after - 1]], kind[edge[after]])
+    c = np.where(kind == 2, c, np.uint32(32))
     gap = c == 32
     keep = np.ones(len(c), bool)
     keep[1:] = ~(gap[1:] & gap[:-1])
@@ -103,20 +130,22 @@ class Model:
     embeddings: np.ndarray
     softmax: np.ndarray
     bias: np.ndarray
+    #: Weights of worst span and evidence, and a constant.
+    pool: np.ndarray = field(default_factory=lambda: np.array([1.0, 0.0, 0.0]))
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, embeddings=self.embeddings, softmax=self.softmax, bias=self.bias)
+        np.savez(out, embeddings=self.embeddings, softmax=self.softmax, bias=self.bias, pool=self.pool)
         return out.getvalue()
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> Model:
         with np.load(io.BytesIO(raw)) as z:
-            return cls(z["embeddings"], z["softmax"], z["bias"])
+            return cls(z["embeddings"], z["softmax"], z["bias"], z["pool"])
 
     def scorer(self) -> Scorer:
         return Scorer((self.embeddings @ (self.softmax[1] - self.softmax[0])).astype(np.float32),
-                      float(self.bias[1] - self.bias[0]))
+                      float(self.bias[1] - self.bias[0]), self.pool)
 
 
 @dataclass
@@ -125,6 +154,7 @@ class Scorer:
 
     odds: np.ndarray
     bias: float
+    pool: np.ndarray
     span: int = SPAN
 
     def word_odds(self, codes: np.ndarray) -> np.ndarray:
@@ -135,23 +165,30 @@ class Scorer:
             count += np.bincount(word, minlength=n)[:n]
         return total / np.maximum(count, 1)
 
-    def score(self, text: str | None) -> float:
+    def evidence(self, text: str | None) -> np.ndarray:
+        """Log-odds of the worst span, and the evidence of the distinct words."""
         parts = [(self.word_odds(p), _word_hashes(p)) for p in _pieces(_codes(text or ""))]
         words = np.concatenate([np.zeros(0), *(p[0] for p in parts)])
-        worst = 0.0
-        if len(words):
-            same = np.concatenate([p[1] for p in parts])
-            order = np.argsort(same, kind="stable")
-            before = np.full(len(words), -1)
-            again = same[order[1:]] == same[order[:-1]]
-            before[order[1:][again]] = order[:-1][again]
-            size = min(self.span, len(words))
-            starts = np.arange(0, len(words) - size + 1, max(1, self.span // 2))
-            if starts[-1] + size < len(words):  # the rest is read with the words before it
-                starts = np.append(starts, len(words) - size)
-            place = starts[:, None] + np.arange(size)
-            worst = float(np.where(before[place] < starts[:, None], words[place], 0).sum(1).max() / size)
-        return float(1 / (1 + np.exp(-np.clip(worst + self.bias, -30, 30))))
+        if not len(words):
+            return np.array([self.bias, 0.0])
+        same = np.concatenate([p[1] for p in parts])
+        order = np.argsort(same, kind="stable")
+        before = np.full(len(words), -1)
+        again = same[order[1:]] == same[order[:-1]]
+        before[order[1:][again]] = order[:-1][again]
+        size = min(self.span, len(words))
+        starts = np.arange(0, len(words) - size + 1, max(1, self.span // 2))
+        if starts[-1] + size < len(words):  # the rest is read with the words before it
+            starts = np.append(starts, len(words) - size)
+        place = starts[:, None] + np.arange(size)
+        worst = np.where(before[place] < starts[:, None], words[place], 0).sum(1).max() / size
+        once = words[before < 0]
+        lift = np.maximum(once / self.span + self.bias / 2, 0).sum()
+        return np.array([worst + self.bias, lift / np.sqrt(len(once) + self.span)])
+
+    def score(self, text: str | None) -> float:
+        z = float(self.pool[:-1] @ self.evidence(text) + self.pool[-1])
+        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def _table(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -228,6 +265,30 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7, epochs: int = EPOCHS)
     return model
 
 
+def _weigh(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the columns of ``x`` and a constant: a logistic, by Newton's method."""
+    mean, scale = x.mean(0), x.std(0) + 1e-9
+    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
+    penalty = POOL_PENALTY * len(x) * np.array([1.0] * x.shape[1] + [1e-3])
+    w = np.zeros(z.shape[1])
+    for _ in range(POOL_STEPS):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        w += np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + np.diag(penalty + 1e-9),
+                             z.T @ (y - p) - penalty * w)
+    return np.append(w[:-1] / scale, w[-1] - (w[:-1] / scale) @ mean)
+
+
+def fit_pooled(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
+    """``fit`` on all rows, with the pool's weights from rows held back meanwhile."""
+    y = np.array(toxic, np.int64)
+    back = np.arange(len(y)) % POOL_PART == 0
+    model = fit(texts, toxic, seed)
+    if len(y) and all(0 < y[part].sum() < part.sum() for part in (back, ~back)):
+        part = fit([t for t, b in zip(texts, back) if not b], y[~back].tolist(), seed).scorer()
+        model.pool = _weigh(np.array([part.evidence(t) for t, b in zip(texts, back) if b]), y[back])
+    return model
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows whose labels are never learnt."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
@@ -237,15 +298,16 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
     """Fit on the ``labelled`` rows, at most, with the smallest hashes of their ids."""
     chosen = labels.where(~held_out() & F.col("toxic").isNotNull()).select("doc_id", "toxic").distinct() \
         .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(labelled)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``labelled`` pairs
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
+        .groupBy("doc_id", "toxic").agg(F.min(filled("text")).alias("text"))  # at most ``labelled`` rows
 
     def run(pdf):
         import pandas as pd
-        pdf = pdf.sort_values(["doc_id", "toxic", "text"])
-        return pd.DataFrame({"model": [fit(pdf["text"].tolist(), pdf["toxic"].tolist()).to_bytes()]})
+        pdf = pdf.sort_values(["order", "doc_id", "toxic"])
+        return pd.DataFrame({"model": [fit_pooled(pdf["text"].tolist(), pdf["toxic"].tolist()).to_bytes()]})
 
-    out = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"),
-                      F.lit(1).alias("one")) \
+    out = rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"),
+                      F.xxhash64("doc_id").alias("order"), F.lit(1).alias("one")) \
         .groupBy("one").applyInPandas(run, "model binary").collect()
     return Model.from_bytes(bytes(out[0].model)) if out else fit([], [])
 

@@ -1,6 +1,8 @@
 """URL verdicts: rules, subdomains, trust over links, nulls, empty tables."""
 
-from sparkmart.llm.link_trust import verdicts
+import numpy as np
+
+from sparkmart.llm.link_trust import spread, verdicts
 from sparkmart.llm.queries import RULES
 
 SCHEMA = "page_id long, url string, html string, host string"
@@ -27,3 +29,39 @@ def test_rules_and_trust(spark):
 
 def test_empty(spark):
     assert verdicts(spark.createDataFrame([], SCHEMA), RULES).count() == 0
+
+
+def test_ranks_against_a_dense_power_iteration(spark):
+    r = np.random.default_rng(3)
+    n = 12
+    w = np.where(r.random((n, n)) < 0.25, r.integers(1, 4, (n, n)), 0).astype(float)
+    w[3] = w[:, 7] = 0
+    seeds = [("trust", 0, 3.0), ("trust", 1, 1.0), ("distrust", 2, 2.0)]
+    edges = spark.createDataFrame([(f"h{i}", f"h{j}", float(w[i, j])) for i in range(n) for j in range(n) if w[i, j]],
+                                  "src string, dst string, w double")
+    got = {x.host: (x.trust, x.distrust) for x in spread(edges, spark.createDataFrame(
+        [(k, f"h{i}", m) for k, i, m in seeds], "walk string, host string, n double"), tolerance=1e-3).collect()}
+    for side, (walk, m) in enumerate([("trust", w), ("distrust", w.T)]):
+        s = np.zeros(n)
+        for k, i, c in seeds:
+            s[i] += c * (k == walk)
+        s /= s.sum()
+        p = m / np.maximum(m.sum(1, keepdims=True), 1)
+        rank = s.copy()
+        for _ in range(400):
+            rank = 0.15 * s + 0.85 * rank @ p
+        assert np.allclose([got.get(f"h{i}", (0, 0))[side] for i in range(n)], rank, atol=1e-3)
+
+
+def test_a_long_chain_to_a_blocked_host_is_blocked_all_along(spark):
+    chain = [(k, f"http://c{k}.net/", f'<a href="http://c{k + 1}.net/">' if k < 30 else
+              '<a href="http://example.org/">', None) for k in range(31)]
+    rows = spark.createDataFrame([*chain, (99, "http://example.org/es/" + "x" * 100_000, "y" * 200_000, None)], SCHEMA)
+    got = {x.page_id: x.verdict for x in verdicts(rows, [("block", "example.org/es/")]).collect()}
+    assert set(got.values()) == {"block"} and len(got) == 32
+
+
+def test_rules_of_one_length_tie_towards_block(spark):
+    rows = spark.createDataFrame([(1, "http://a.bc/", "", None), (2, "ftp://x.a.bc/y", "", None)], SCHEMA)
+    got = [(x.rule, x.verdict) for x in verdicts(rows, [("allow", "a.bc/"), ("block", "a.bc/"), ("allow", "bc/")]).collect()]
+    assert got == [("a.bc/", "block")] * 2

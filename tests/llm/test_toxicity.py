@@ -52,6 +52,47 @@ def test_scores_without_words_are_the_prior(model):
     assert len(scores) == 1 and 0 < scores.pop() < T.THRESHOLD
 
 
+def test_pooled_evidence_keeps_clean_and_empty_texts():
+    rows, vocab = make(900)
+    s = T.fit_pooled([t for _, t, _ in rows], [y for _, _, y in rows]).scorer()
+    held, _ = make(600, seed=2)
+    got = {y: np.mean([s.score(t) >= T.THRESHOLD for _, t, z in held if z == y]) for y in (0, 1)}
+    assert got[1] >= 0.9 and got[0] <= 0.01
+    assert all(s.score(t) < T.THRESHOLD for t in ("", None, "123 !!", "the " * 500, " ".join(vocab) * 20))
+    # insults far from each other add up
+    far = " ".join(f"{' '.join(vocab[k:k + 40])} {w}" for k, w in zip(range(0, 160, 40), BAD))
+    assert s.score(far) >= T.THRESHOLD
+
+
+def test_stand_ins_keep_a_word_whole():
+    words = lambda t: T._codes(t).tobytes().decode("utf-32-le").split()
+    assert words("M0r0n st*pid b@d! 12 $x a-b 4u e\u0301a") == ["m0r0n", "st*pid", "b@d", "x", "a", "b", "u", "e\u0301a"]
+    assert words("*@!") == [] and words("a1") == ["a"] and words("") == []
+
+
+def test_weights_of_evidence_against_a_search():
+    r = np.random.default_rng(1)
+    x = r.normal(size=(400, 2))
+    y = (x @ [2.0, -1.0] + 0.5 + r.logistic(size=400) > 0).astype(int)
+    w = T._weigh(x, y)
+
+    def loss(v):
+        z = x @ v[:2] + v[2]
+        k = (v[:2] * x.std(0))
+        return np.logaddexp(0, np.where(y, -z, z)).mean() + T.POOL_PENALTY / 2 * (k ** 2).sum()
+
+    assert all(loss(w) <= loss(w + d) + 1e-7 for d in 0.05 * r.normal(size=(200, 3)))
+
+
+def test_ids_that_repeat_are_learnt_once(spark, docs):
+    one, two = [i for i in range(1, 20) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    many = docs([(one, f"text {k}") for k in range(300)] + [(two, "you idiot")])
+    labels = spark.createDataFrame([(one, 0), (two, 1)], "doc_id long, toxic int")
+    rows = [("text 0", 0), ("you idiot", 1)]
+    orders = [T.fit_pooled(*map(list, zip(*r))).to_bytes() for r in (rows, rows[::-1])]
+    assert T.train(many, labels).to_bytes() in orders
+
+
 def test_long_texts_in_pieces_score_alike(model, monkeypatch):
     s = model.scorer()
     text = " ".join(t for _, t, _ in make(40, seed=3)[0])
