@@ -14,10 +14,10 @@ of their host:
   together. A host that neither reaches has no evidence against it: allowed.
 
 Seeds weigh as many pages as they have. Both walks are one table of ranks, keyed
-by (walk, host), with what has come to a host and what it hands on next: a round is
-one join with the edges and one sum, pre-aggregated. Every few rounds the table is
-written to the shared folder, and the walks end when what is still on its way is
-under ``tolerance`` of all that set out, however far it has gone. Edges are counted
+by (walk, host): a round is one join with the edges and one sum, pre-aggregated.
+Every few rounds the ranks are written to the shared folder, and the walks end when
+that long has added no more than ``tolerance`` to the ranks' sum, however far they
+have gone. Edges are counted
 per pair of hosts before any walk, so a host with a third of all pages is one row
 for each neighbour. Ranks that reach a host without edges end there.
 
@@ -99,19 +99,19 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, toleran
     steps = written(both.join(out, ["walk", "host"]).select(
         "walk", "host", "next", (damping * F.col("w") / F.col("all")).alias("p")), "host-steps")
     total = seeds.groupBy("walk").agg(F.sum("n").alias("all"))
-    share = (1 - damping) * F.col("n") / F.col("all")
-    ranks = written(seeds.join(total, "walk").select("walk", "host", share.alias("r"), share.alias("next")), "ranks")
-    moving = 1.0
-    while moving > tolerance * (1 - damping):
+    again = written(seeds.join(total, "walk").select(
+        "walk", "host", ((1 - damping) * F.col("n") / F.col("all")).alias("r")), "seeds")
+    ranks, mass, gain = again, {}, 1.0
+    while gain > tolerance:
         for _ in range(WRITE_EVERY):
-            came = ranks.select("walk", "host", F.col("next").alias("r")).join(
-                steps, ["walk", "host"]).select("walk", F.col("next").alias("host"), (F.col("r") * F.col("p")).alias("r"))
-            ranks = came.withColumn("next", F.col("r")) \
-                .unionByName(ranks.select("walk", "host", "r", F.lit(0.0).alias("next"))) \
-                .groupBy("walk", "host").agg(F.sum("r").alias("r"), F.sum("next").alias("next"))
+            moved = ranks.join(steps, ["walk", "host"]).select(
+                "walk", F.col("next").alias("host"), (F.col("r") * F.col("p")).alias("r"))
+            ranks = moved.unionByName(again).groupBy("walk", "host").agg(F.sum("r").alias("r"))
         ranks = written(ranks, "ranks")
-        left = ranks.groupBy("walk").agg(F.sum("next").alias("left")).agg(F.max("left")).first()[0]
-        moving = left or 0.0
+        # ranks only grow, and each round adds at most ``damping`` times what the last one did
+        now = dict(ranks.groupBy("walk").agg(F.sum("r")).collect())  # one row for each of two walks
+        gain = max((m - mass.get(walk, 0.0) for walk, m in now.items()), default=0.0)
+        mass = now
     of = lambda walk: F.coalesce(F.sum(F.when(F.col("walk") == walk, F.col("r"))), F.lit(0.0))
     return ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
 
