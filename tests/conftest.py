@@ -49,3 +49,22 @@ def make_star(spark, sales, products=None, stores=None):
     cust = spark.createDataFrame([(1, "C", "Male")], "customer_id long, customer_name string, gender string")
     return Star(fact=fact, dim_product=dim_product, dim_store=dim_store, dim_customer=cust,
                 dim_date=calendar(spark, "2018-01-01", "2025-12-31"))
+
+
+def write_tables(spark, folder, lines, n_products=30, n_suppliers=3):
+    """The driver's tables for the star, of one's own rows. lines: (order, 'YYYY-MM-DD',
+    product, quantity, customer); customers 0-9 exist."""
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(folder, f"{name}.parquet"))
+
+    put("region", [(0, "R")], "r_regionkey long, r_name string")
+    put("nation", [(0, "N", 0)], "n_nationkey long, n_name string, n_regionkey long")
+    put("customer", [(i, f"C{i}", "X") for i in range(10)], "c_custkey long, c_name string, c_mktsegment string")
+    put("supplier", [(i, f"S{i}", 0) for i in range(n_suppliers)], "s_suppkey long, s_name string, s_nationkey long")
+    put("part", [(i, f"P{i}", 10.0 + i) for i in range(n_products)], "p_partkey long, p_name string, p_retailprice double")
+    orders = {o: (d, c) for o, d, _, _, c in lines}
+    put("orders", [(o, c, dt.datetime.fromisoformat(d)) for o, (d, c) in orders.items()],
+        "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz")
+    put("lineitem", [(o, p, k, float(q)) for k, (o, _, p, q, _) in enumerate(lines)],
+        "l_orderkey long, l_partkey long, l_linenumber long, l_quantity double")
+    return str(folder)

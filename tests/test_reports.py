@@ -259,3 +259,51 @@ def test_product_affinity_prunes_on_skewed_sales(spark):
                 exp[(a[2], b[2])] = exp.get((a[2], b[2]), 0) + 1
     top = sorted(((-f, i, j) for (i, j), f in exp.items() if f >= 2))[:5]
     assert got == [(f"P{i}", f"P{j}", -f) for f, i, j in top]
+
+
+def _own_pairs(spark, folder):
+    from tests.conftest import write_tables
+    # product p is bought in p + 1 orders of one day: all pairs have frequencies of their own
+    lines, order = [], 0
+    for p in range(12):
+        for _ in range(p + 1):
+            order += 1
+            lines.append((order, "1997-03-01", p, 1, 1))
+    exp = {(p, q): (p + 1) * (q + 1) for p in range(12) for q in range(p + 1, 12)}
+    return write_tables(spark, folder, lines), exp
+
+
+def test_filter_agg_threshold_returns_every_pair_over_the_threshold(spark, tmp_path):
+    from sparkmart.plans.registry import load_all
+    folder, exp = _own_pairs(spark, tmp_path)
+    got = load_all()["filter_agg_threshold"].fn(spark, folder).collect()
+    assert {(r.product1_id, r.product2_id): r.purchase_frequency for r in got} == {k: v for k, v in exp.items() if v > 1}
+
+
+def test_self_join_theta_returns_every_pair(spark, tmp_path):
+    from sparkmart.plans.registry import load_all
+    folder, exp = _own_pairs(spark, tmp_path)
+    got = load_all()["self_join_theta"].fn(spark, folder).collect()
+    assert {(r.product1_id, r.product2_id): r.purchase_frequency for r in got} == exp
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_pairs_are_counted_in_tiles_and_not_shuffled(spark, kind):
+    import random
+    from sparkmart.operators import affinity as A
+    rnd = random.Random(5)
+    name = (lambda i: f"item {i:02d}") if kind == "string" else int
+    rows = [(rnd.randrange(6), name(rnd.randrange(40)), rnd.randrange(50)) for _ in range(500)]
+    df = spark.createDataFrame(rows, f"b int, i {kind}, g int")
+    exp = {}
+    for b1, i1, g1 in rows:
+        for b2, i2, g2 in rows:
+            if b1 == b2 and g1 != g2 and i1 < i2:
+                exp[i1, i2] = exp.get((i1, i2), 0) + 1
+    out = A.pair_frequency(df, "b", "i", "g", block_items=7, min_freq=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(i1" not in plan and "hashpartitioning(a" in plan
+    assert {(r.i1, r.i2): r.freq for r in out.collect()} == {k: v for k, v in exp.items() if v >= 2}
+    top = A.pair_frequency(df, "b", "i", "g", block_items=7, top_n=3).collect()
+    assert sorted((r.freq for r in top), reverse=True)[:3] == sorted(exp.values(), reverse=True)[:3]
+    assert len(top) < len(exp) and all(exp[r.i1, r.i2] == r.freq for r in top)
