@@ -25,6 +25,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
+# Rows of the fact that one task joins and aggregates, and the number of tasks from
+# which they are counted that way.
+ROWS_PER_TASK = 500_000
+PLANNED_TASKS = 16
+
 # The calendar the test data lives in (orders run 1995-01-01 .. 2001-08-01);
 # the DIM_DATE range rule uses it, as 2019..2024 is used on the real feed.
 DATE_RANGE = ("1995-01-01", "2001-12-31")
@@ -114,15 +119,27 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "line_id"))
 
 
-def build_fact(tx: DataFrame, product: DataFrame) -> DataFrame:
-    """Transactions enriched with price and store: FACT_SALES rows.
+def spread(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """``df`` of about ``rows`` rows, dealt by ``key`` to tasks of ``ROWS_PER_TASK`` rows.
+
+    AQE merges shuffle partitions up to a size in compressed bytes. A stage that
+    sorts, joins, aggregates and ranks what it reads holds several hundred bytes
+    a row at once, some 40 times that size, so tasks are counted from rows here. Few
+    rows are left to the planner, which may broadcast the other side.
+    """
+    tasks = -(-rows // ROWS_PER_TASK)
+    return df.repartition(tasks, key) if tasks > PLANNED_TASKS else df
+
+
+def build_fact(tx: DataFrame, product: DataFrame, rows: int = 0) -> DataFrame:
+    """Transactions (about ``rows``) enriched with price and store: FACT_SALES rows.
 
     The product side is joined on its key only; AQE chooses broadcast or
     sort-merge from runtime sizes (the product table grows with the data, so
     it is never forced to broadcast).
     """
     p = product.select("product_id", "product_price", "store_id")
-    j = tx.join(p, "product_id")
+    j = spread(tx, rows, "product_id").join(p, "product_id")
     return j.select(
         F.col("order_id").cast("string").alias("order_id"),
         "order_date",
@@ -140,7 +157,8 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     prod = dim_product(spark, sf_dir)
     tx = transactions(spark, sf_dir)
     return Star(
-        fact=build_fact(tx, prod),
+        # from the Parquet footers
+        fact=build_fact(tx, prod, read_table(spark, sf_dir, "lineitem").count()),
         dim_product=prod,
         dim_store=dim_store(spark, sf_dir),
         dim_customer=dim_customer(spark, sf_dir),

@@ -262,7 +262,7 @@ def test_product_affinity_prunes_on_skewed_sales(spark):
 
 
 def _own_pairs(spark, folder):
-    from tests.conftest import write_tables
+    from conftest import write_tables
     # product p is bought in p + 1 orders of one day: all pairs have frequencies of their own
     lines, order = [], 0
     for p in range(12):
@@ -307,3 +307,19 @@ def test_pairs_are_counted_in_tiles_and_not_shuffled(spark, kind):
     top = A.pair_frequency(df, "b", "i", "g", block_items=7, top_n=3).collect()
     assert sorted((r.freq for r in top), reverse=True)[:3] == sorted(exp.values(), reverse=True)[:3]
     assert len(top) < len(exp) and all(exp[r.i1, r.i2] == r.freq for r in top)
+
+
+def test_tasks_of_a_large_fact_are_counted_from_its_rows(spark, tmp_path, monkeypatch):
+    from conftest import write_tables
+    from sparkmart.plans.registry import load_all
+    from sparkmart.sources import testdata as T
+    lines = [(o, f"1997-0{1 + o % 9}-11", o % 30, 1 + o % 4, 1) for o in range(200)]
+    folder = write_tables(spark, tmp_path, lines)
+    keys = ("q05_monthly_volatility", "win_stddev_partition", "filter_on_window", "rollup_labels")
+    plain = {k: sorted(map(str, load_all()[k].fn(spark, folder).collect())) for k in keys}
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 10)
+    assert T.star(spark, folder).fact.rdd.getNumPartitions() == 20
+    for k in keys:
+        df = load_all()[k].fn(spark, folder)
+        assert "hashpartitioning(product_id" in df._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")[0]
+        assert sorted(map(str, df.collect())) == plain[k] and plain[k]
