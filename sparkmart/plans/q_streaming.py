@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from sparkmart.plans.oracle_sql import with_star
 from sparkmart.plans.registry import register
 from sparkmart.session import scratch_path
-from sparkmart.sources.testdata import DATE_RANGE, star
+from sparkmart.sources.testdata import DATE_RANGE, read_table, star
 from sparkmart.streaming.fact_stream import (
-    RECORDS_PER_FILE, StreamPaths, TransactionKey, read_dim_date, read_fact, read_manifest, read_rejects,
-    run_fact_stream, stage_files,
+    BYTES_PER_TRIGGER, RECORDS_PER_FILE, StreamPaths, TransactionKey, read_dim_date, read_fact, read_manifest,
+    read_rejects, run_fact_stream, stage_files,
 )
 
 LINE = TransactionKey("line_id", dated=True)  # the same line never has another date
@@ -32,10 +32,10 @@ SELECT f.order_id, f.order_date, f.date_id, f.customer_id, f.product_id, f.store
 FROM fact f WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)""")
 
 
-def _run(spark, sf_dir, name, deliveries=None, restarts=0, key=LINE, records_per_file=RECORDS_PER_FILE, **limits):
+def _run(spark, sf_dir, name, deliveries=None, restarts=0, key=LINE, records_per_file=RECORDS_PER_FILE, batches=1):
     """Stage the feed (optionally in deliveries, each a function of the
     transactions and followed by a stream run on the same checkpoint);
-    (paths, schema of the feed)."""
+    (paths, schema of the feed). A batch has at most its share of what is staged."""
     s = star(spark, sf_dir)
     paths = StreamPaths(scratch_path(spark, name))
     tx = s.transactions
@@ -46,7 +46,11 @@ def _run(spark, sf_dir, name, deliveries=None, restarts=0, key=LINE, records_per
     for part in [*(deliveries or [lambda t: t]), *[None] * restarts]:
         if part is not None:
             stage_files(part(tx), paths.source, records_per_file)
-        run_fact_stream(spark, paths, tx.schema, cust, prod, *DATE_RANGE, key=key, **limits)
+        bound = BYTES_PER_TRIGGER
+        if batches > 1:
+            staged = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths.source)
+            bound = min(bound, max(1, staged.agg(F.sum("length")).first()[0] // batches))
+        run_fact_stream(spark, paths, tx.schema, cust, prod, *DATE_RANGE, key=key, bytes_per_trigger=bound)
     return paths, tx.schema
 
 
@@ -60,27 +64,17 @@ def _between(lo=None, hi=None):
     return part
 
 
-SMALL_FILE, SMALL_BATCH = 20_000, 300_000  # rows, bytes: several batches of the larger test tables
+MICRO_BATCHES = 8  # batches that the feed is dealt into, if no batch gets over the loader's bounds
 
 
-@register("stream_micro_batch", with_star(f"""
-SELECT COUNT(*) AS rows_in, CAST(0 AS BIGINT) AS batches_over_bound,
-       COUNT(*) > {SMALL_FILE} AS several_batches,
-       COUNT(*) FILTER (WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = t.customer_id)
-                          AND EXISTS (SELECT 1 FROM dim_product p WHERE p.product_id = t.product_id)
-                          AND t.quantity > 0) AS rows_loaded
-FROM tx t"""), "2.9")
+@register("stream_micro_batch", SQL_FACT, "2.9")
 def stream_micro_batch(spark, sf_dir):
-    """Batches bounded by bytes: whatever the bound, the batches' rows make up the
-    feed, and no batch is larger than the bound allows (one file more than the
-    bytes, each of at most ``SMALL_FILE`` rows)."""
-    paths, _ = _run(spark, sf_dir, "stream-micro-batch", records_per_file=SMALL_FILE, bytes_per_trigger=SMALL_BATCH)
-    size = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths.source) \
-        .agg(F.min("length")).first()[0]
-    most = SMALL_FILE * (SMALL_BATCH // max(size, 1) + 1)
-    return read_manifest(spark, paths).agg(
-        F.sum("rows_in").alias("rows_in"), F.count_if(F.col("rows_in") > most).alias("batches_over_bound"),
-        (F.count("*") > 1).alias("several_batches"), F.sum("rows_loaded").alias("rows_loaded"))
+    """The feed in several batches bounded by bytes; their number does not grow
+    with the feed until the loader's own bounds make more of them."""
+    rows = read_table(spark, sf_dir, "lineitem").count()
+    per_file = min(RECORDS_PER_FILE, max(1, rows // (2 * MICRO_BATCHES)))
+    paths, feed = _run(spark, sf_dir, "stream-micro-batch", records_per_file=per_file, batches=MICRO_BATCHES)
+    return read_fact(spark, paths, feed, LINE).select(*FACT_COLS)
 
 
 @register("stream_dim_join", SQL_FACT, "2.9")

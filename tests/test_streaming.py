@@ -183,3 +183,22 @@ def test_ids_chain_over_batches(spark, dims, feed, paths, monkeypatch):
     found = [r.sale_id for r in read_fact(spark, paths, feed).select("sale_id").collect()]
     assert len(found) == len(set(found)) == 14
     assert {i % 256 for i in found} == set(range(max(i % 256 for i in found) + 1))
+
+
+def test_micro_batch_query_returns_the_fact_from_a_fixed_number_of_batches(spark, tmp_path, monkeypatch):
+    from conftest import write_tables
+    from sparkmart.plans import q_streaming as Q
+    lines = [(o, f"199{6 + o % 3}-0{1 + o % 9}-1{o % 10}", (o * 7 + k) % 30, 1 + k, o % 12)
+             for o in range(400) for k in range(2)]
+    folder = write_tables(spark, tmp_path, lines)
+    bounds = []
+    run = Q.run_fact_stream
+    monkeypatch.setattr(Q, "run_fact_stream", lambda *a, **k: bounds.append((a[1], k)) or run(*a, **k))
+    got = Q.stream_micro_batch(spark, folder)
+    assert got.columns == Q.FACT_COLS
+    assert sorted((r.order_id, r.product_id, r.quantity) for r in got.collect()) == \
+        sorted((str(o), p, q) for o, _, p, q, c in lines if c < 10)
+    from sparkmart.streaming.fact_stream import read_manifest
+    n = read_manifest(spark, bounds[0][0]).count()
+    assert 1 < n <= 2 * Q.MICRO_BATCHES + 2
+
