@@ -162,9 +162,10 @@ def make_batch_writer(spark: SparkSession, paths: StreamPaths, schema: T.StructT
             .agg(F.min(F.struct(*others)).alias("first"), F.count("*").alias("copies")) \
             .select(F.col(key.column), *[F.col(f"first.{c}").alias(c) for c in others], "copies")
         seen = known.select(F.col("key").alias(key.column), F.lit(True).alias("seen"))
-        e = enrich_with_flags(first, customers, products).withColumn("parse_reason", F.lit(None).cast("string")) \
-            .withColumn("reason", reject_reason(date_from, date_to)) \
-            .join(seen, key.column, "left")
+        # first of the joins: the rows are dealt by key already
+        e = enrich_with_flags(first.join(seen, key.column, "left"), customers, products) \
+            .withColumn("parse_reason", F.lit(None).cast("string")) \
+            .withColumn("reason", reject_reason(date_from, date_to))
         e = e.withColumn("route", F.when(F.col("seen"), "duplicate").when(F.col("reason").isNotNull(), "reject")
                          .otherwise("fact")) \
             .withColumn("base", F.when(F.col("route") == "fact", sale_base()))
