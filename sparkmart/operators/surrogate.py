@@ -38,6 +38,12 @@ def chained(base: Column | str, place: Column) -> Column:
     return F.when(place < CHAIN, (F.col(base) if isinstance(base, str) else base) + place).otherwise(full)
 
 
+def apart(*columns: str) -> Column:
+    """What stands for the base of a row without one: below all bases, and spread by
+    ``columns``, so that such rows are dealt to all tasks and match no chain."""
+    return -1 - F.abs(F.xxhash64(*columns) % (1 << 62))
+
+
 def with_sale_id(fact: DataFrame, content: tuple[str, ...] = CONTENT, date: str = "order_date",
                  hashes: int = HASHES) -> DataFrame:
     """``fact`` with its ``sale_id``. Rows of equal content are as many rows of one

@@ -39,13 +39,14 @@ def _run(spark, sf_dir, name, deliveries=None, restarts=0, key=LINE, records_per
     s = star(spark, sf_dir)
     paths = StreamPaths(scratch_path(spark, name))
     tx = s.transactions
+    rows = read_table(spark, sf_dir, "lineitem").count()  # from the Parquet footers
     # dimensions are built once before the stream starts (as the ETL writes
     # them first); micro-batches then join the materialised tables
     cust = s.dim_customer.select("customer_id").checkpoint(eager=True)
     prod = s.dim_product.select("product_id", "product_price", "store_id").checkpoint(eager=True)
     for part in [*(deliveries or [lambda t: t]), *[None] * restarts]:
         if part is not None:
-            stage_files(part(tx), paths.source, records_per_file)
+            stage_files(part(tx), paths.source, records_per_file, rows)
         bound = BYTES_PER_TRIGGER
         if batches > 1:
             staged = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths.source)

@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 
 from sparkmart.functions.dates import calendar_columns
 from sparkmart.operators.quality import enrich_with_flags, reject_reason
-from sparkmart.operators.surrogate import CHAIN, chained, sale_base
+from sparkmart.operators.surrogate import CHAIN, apart, chained, sale_base
+from sparkmart.sources.testdata import PLANNED_TASKS
 
 RECORDS_PER_FILE = 1_000_000  # most rows of a staged file
 BYTES_PER_TRIGGER = 512 << 20  # staged bytes of a micro-batch
@@ -98,11 +99,14 @@ def loaded_schema(feed: T.StructType, key: TransactionKey) -> T.StructType:
     ])
 
 
-def stage_files(tx: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+def stage_files(tx: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, rows: int = 0) -> None:
     """Land transactions for the stream in files that cover a date range each
     (a day with very many rows is split by order as well) and hold at most
-    ``records_per_file`` rows."""
-    (tx.repartitionByRange("order_date", "order_id").sortWithinPartitions("order_date", "order_id")
+    ``records_per_file`` rows. ``rows``: how many come at most, if known; tasks that
+    sort many are counted from them."""
+    tasks = -(-rows // RECORDS_PER_FILE)
+    (tx.repartitionByRange(*[tasks] * (tasks > PLANNED_TASKS), "order_date", "order_id")
+     .sortWithinPartitions("order_date", "order_id")
      .write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path))
 
 
@@ -148,6 +152,19 @@ def _known(loaded: DataFrame, batch: DataFrame, batch_id: int, key: TransactionK
     return known
 
 
+def with_chain_ids(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the sale_id of facts, after the places that ``known`` (sale_id)
+    has in their chains. Rows that get none (all but a few of a re-delivery) are dealt
+    by their key, not as one group."""
+    is_fact = F.col("route") == "fact"
+    rows = rows.withColumn("chain", F.coalesce(F.when(is_fact, sale_base()), apart(key)))
+    tops = known.groupBy((F.col("sale_id") - F.col("sale_id") % CHAIN).alias("chain")) \
+        .agg(F.max(F.col("sale_id") % CHAIN).alias("top"))
+    place = F.row_number().over(Window.partitionBy("chain").orderBy(key))
+    return rows.join(tops, "chain", "left").withColumn(
+        "sale_id", F.when(is_fact, chained("chain", F.coalesce("top", F.lit(-1)) + place)))
+
+
 def make_batch_writer(spark: SparkSession, paths: StreamPaths, schema: T.StructType, key: TransactionKey,
                       customers: DataFrame, products: DataFrame, date_from: str, date_to: str):
     # reduced once, not in every batch
@@ -167,14 +184,8 @@ def make_batch_writer(spark: SparkSession, paths: StreamPaths, schema: T.StructT
             .withColumn("parse_reason", F.lit(None).cast("string")) \
             .withColumn("reason", reject_reason(date_from, date_to))
         e = e.withColumn("route", F.when(F.col("seen"), "duplicate").when(F.col("reason").isNotNull(), "reject")
-                         .otherwise("fact")) \
-            .withColumn("base", F.when(F.col("route") == "fact", sale_base()))
-        tops = known.groupBy((F.col("sale_id") - F.col("sale_id") % CHAIN).alias("base")) \
-            .agg(F.max(F.col("sale_id") % CHAIN).alias("top"))
-        place = F.row_number().over(Window.partitionBy("base", F.when(F.col("base").isNull(), F.col(key.column)))
-                                    .orderBy(key.column))
-        e = e.join(tops, "base", "left").withColumn(
-            "sale_id", F.when(F.col("route") == "fact", chained("base", F.coalesce("top", F.lit(-1)) + place)))
+                         .otherwise("fact"))
+        e = with_chain_ids(e, known, key.column)
         rows = e.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in out if c not in ("key", "unit_price",
                                                                                               "sale_month")],
                         F.col(key.column).alias("key"), F.col("product_price").alias("unit_price"),
