@@ -108,7 +108,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transaction feed: one row per order line."""
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders")
-    li = li.withColumn("line_id", line_identity(li))
+    rows = li.count()  # from the Parquet footers
+    li = spread(li.withColumn("line_id", line_identity(li)), rows, "l_orderkey")
+    o = spread(o, rows, "o_orderkey")  # as many tasks as the lines, so the join needs no other exchange
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .select(li.l_orderkey.alias("order_id"),
                     o.o_orderdate.cast("date").alias("order_date"),
