@@ -81,27 +81,34 @@ def _check(rule: str, holds: Column) -> list[tuple[str, Column]]:
     return [(rule, ~F.coalesce(holds, F.lit(True)))]
 
 
-def _reference(table: str, key: str, parent: str) -> list[tuple[str, Column]]:
-    """A foreign key, looked up by ``_looked_up``; a null key refers to nothing."""
-    return [(f"{table}.{key} -> {parent}", F.col(key).isNotNull() & F.col(f"__{key}").isNull())]
+def _reference(table: str, key: str, parent: str) -> list[tuple[str, str]]:
+    """A foreign key, by the name of its column; a null key refers to nothing."""
+    return [(f"{table}.{key} -> {parent}", key)]
 
 
-def _looked_up(child: DataFrame, *parents: tuple[str, DataFrame]) -> DataFrame:
-    """``child`` with a flag ``__<key>`` where its key is in the parent. Keys of
-    parents are made distinct, so no row comes twice."""
-    for key, parent in parents:
-        child = child.join(parent.select(key).distinct().withColumn(f"__{key}", F.lit(True)), key, "left")
-    return child
-
-
-def _profile(table: str, rows: DataFrame, pk: str, rules: list[tuple[str, Column]]) -> DataFrame:
+def _profile(table: str, rows: DataFrame, pk: str, rules: list[tuple[str, Column | str]],
+             parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """(rule, violations) of one table in one pass: flags of all rules are summed
     by primary key, which counts repeats of the key as well, then over all keys.
     The first sum is combined on the mappers, so one hot key is no large group.
     A row breaks the primary key if its key is null or another row has it too
-    (of n such rows, n - 1)."""
+    (of n such rows, n - 1).
+
+    What a row breaks by itself is a bit each of ``own``, so that the joins with
+    ``parents`` (key -> table) shuffle only that, the primary and the foreign keys.
+    Keys of parents are made distinct, so no row comes twice."""
+    own = F.lit(0).cast("long")
+    for i, (_, broken) in enumerate(rules):
+        if isinstance(broken, Column):
+            own = own.bitwiseOR(F.when(broken, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+    flagged = rows.select(F.col(pk).alias("k"), own.alias("own"), *(parents or {}))
+    for key, parent in (parents or {}).items():
+        flagged = flagged.join(parent.select(key).distinct().withColumn(f"__{key}", F.lit(True)), key, "left")
     flags = [f"f{i}" for i in range(len(rules))]
-    flagged = rows.select(F.col(pk).alias("k"), *[broken.cast("int").alias(f) for f, (_, broken) in zip(flags, rules)])
+    flagged = flagged.select("k", *[
+        (F.shiftright("own", i).bitwiseAND(F.lit(1).cast("long")) if isinstance(broken, Column)
+         else (F.col(broken).isNotNull() & F.col(f"__{broken}").isNull())).cast("int").alias(f)
+        for i, (f, (_, broken)) in enumerate(zip(flags, rules))])
     by_key = flagged.groupBy("k").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
     repeats = F.sum(F.when(F.col("k").isNull(), F.col("n")).otherwise(F.col("n") - 1))
     total = by_key.agg(repeats.alias("k"), *[F.sum(f).alias(f) for f in flags])
@@ -124,28 +131,27 @@ def constraint_violations(fact: DataFrame, product: DataFrame, store: DataFrame,
                  _not_null("dim_customer", "customer_name")
                  + _check(f"dim_customer.{gender} allowed", F.col(gender).isin(*genders))),
         _profile("dim_store", store, "store_id", _not_null("dim_store", "store_name")),
-        _profile("dim_product", _looked_up(product, ("store_id", store)), "product_id",
+        _profile("dim_product", product, "product_id",
                  _not_null("dim_product", "product_name", "product_price", "supplier_id", "supplier_name")
-                 + _reference("dim_product", "store_id", "dim_store")),
+                 + _reference("dim_product", "store_id", "dim_store"), {"store_id": store}),
         _profile("dim_date", dates, "date_id",
                  _not_null("dim_date", "full_date", "year", "quarter", "month", "month_name", "day_of_month",
                            "day_of_week", "day_name")
                  + _check("dim_date.is_weekend generated",
                           F.col("is_weekend") == F.col("day_of_week").isin(*WEEKEND))
                  + _check("dim_date.date_range", in_range)),
-        _profile("transactions",
-                 _looked_up(transactions, ("product_id", product), ("customer_id", customer)), "order_id",
+        _profile("transactions", transactions, "order_id",
                  _not_null("transactions", "order_date", "product_id", "customer_id", "quantity")
                  + _reference("transactions", "product_id", "dim_product")
-                 + _reference("transactions", "customer_id", "dim_customer")),
-        _profile("fact",
-                 _looked_up(fact, ("date_id", dates), ("customer_id", customer), ("product_id", product),
-                            ("store_id", store)), "sale_id",
+                 + _reference("transactions", "customer_id", "dim_customer"),
+                 {"product_id": product, "customer_id": customer}),
+        _profile("fact", fact, "sale_id",
                  _not_null("fact", "order_id", "order_date", "quantity", "unit_price")
                  + _check("fact.quantity > 0", F.col("quantity") > 0)
                  + _check("fact.unit_price > 0", F.col("unit_price") > 0)
                  + _reference("fact", "date_id", "dim_date") + _reference("fact", "customer_id", "dim_customer")
-                 + _reference("fact", "product_id", "dim_product") + _reference("fact", "store_id", "dim_store")),
+                 + _reference("fact", "product_id", "dim_product") + _reference("fact", "store_id", "dim_store"),
+                 {"date_id": dates, "customer_id": customer, "product_id": product, "store_id": store}),
     ]
     out = parts[0]
     for p in parts[1:]:
