@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import ascii_lower, written
 
 DAMPING, TOLERANCE, WRITE_EVERY, THRESHOLD = 0.85, 1e-6, 5, 0.5
+#: Steps that a task takes, and the least number of tasks of a round.
+STEPS_PER_TASK, LEAST_TASKS = 100_000, 8
 #: An address in a page: absolute, or with the page's own scheme.
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -92,6 +94,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """host, trust, distrust. ``seeds``: walk ('trust' or 'distrust'), host, n."""
+    spark = edges.sparkSession
     both = edges.select(F.lit("trust").alias("walk"), F.col("src").alias("host"), F.col("dst").alias("next"), "w") \
         .unionByName(edges.select(F.lit("distrust").alias("walk"), F.col("dst").alias("host"),
                                   F.col("src").alias("next"), "w"))
@@ -101,12 +104,16 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, toleran
     total = seeds.groupBy("walk").agg(F.sum("n").alias("all"))
     again = written(seeds.join(total, "walk").select(
         "walk", "host", ((1 - damping) * F.col("n") / F.col("all")).alias("r")), "seeds")
+    tasks = -(-steps.count() // STEPS_PER_TASK)  # from the Parquet footers
+    few = tasks < int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranks, mass, gain = again, {}, 1.0
     while gain > tolerance:
         for _ in range(WRITE_EVERY):
             moved = ranks.join(steps, ["walk", "host"]).select(
                 "walk", F.col("next").alias("host"), (F.col("r") * F.col("p")).alias("r"))
             ranks = moved.unionByName(again).groupBy("walk", "host").agg(F.sum("r").alias("r"))
+            if few:  # each task of a round leaves files until the walks end
+                ranks = ranks.coalesce(max(LEAST_TASKS, tasks))
         ranks = written(ranks, "ranks")
         # ranks only grow, and each round adds at most ``damping`` times what the last one did
         now = dict(ranks.groupBy("walk").agg(F.sum("r")).collect())  # one row for each of two walks

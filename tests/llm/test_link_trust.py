@@ -65,3 +65,29 @@ def test_rules_of_one_length_tie_towards_block(spark):
     rows = spark.createDataFrame([(1, "http://a.bc/", "", None), (2, "ftp://x.a.bc/y", "", None)], SCHEMA)
     got = [(x.rule, x.verdict) for x in verdicts(rows, [("allow", "a.bc/"), ("block", "a.bc/"), ("allow", "bc/")]).collect()]
     assert got == [("a.bc/", "block")] * 2
+
+
+def test_rounds_over_few_edges_have_few_tasks(spark, monkeypatch):
+    """Each task of a round leaves files, in each of some hundred rounds."""
+    from sparkmart.llm import link_trust
+    seen, plain = [], link_trust.written
+
+    def written(df, name):
+        if name == "ranks":
+            seen.append(df.rdd.getNumPartitions())
+        return plain(df, name)
+
+    monkeypatch.setattr(link_trust, "written", written)
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "c", 1.0)], "src string, dst string, w double")
+    seeds = spark.createDataFrame([("trust", "a", 1.0)], "walk string, host string, n double")
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r.host: r.trust for r in link_trust.spread(edges, seeds, tolerance=0.5).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert seen and max(seen) <= link_trust.LEAST_TASKS
+    assert got["a"] > got["b"] > got["c"] > 0
