@@ -169,7 +169,8 @@ class _Ids:
         self.words: dict[str, bytes] = {}
 
     def _library(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # the ids alone, without places in the text
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[str]) -> None:
         """Many words at a time; the last id of a word says that it is the last."""
@@ -177,8 +178,8 @@ class _Ids:
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):
             raise ValueError("a word has no end among its ids")
-        for word, at, end in zip(words, [0, *ends[:-1].tolist()], ends.tolist()):
-            self.words[word] = ids[at:end].tobytes()
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        self.words.update(zip(words, [raw[at:end] for at, end in zip([0, *ends], ends)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # a blank or a line end always ends a word and is part of none
@@ -240,7 +241,8 @@ def _some(texts: list[str], most: int):
 
 def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """doc_id, h (hash of the text), n, ids (compressed) of each row."""
+    """doc_id, h (hash of the text), n, ids (compressed) of each row; the first row of
+    each batch has the counts of the batch's ids as well (compressed)."""
     def run(batches):
         import pyarrow as pa
         import zstandard
@@ -250,13 +252,16 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc
             texts = [t or "" for t in batch.column(2).to_pylist()]
             with uncollected():
                 raw = [ids + end for some in _some(texts, 1 << 20) for ids in tokenizer.encode(some)]
+            counts = np.bincount(np.frombuffer(b"".join(raw), "<u4")).astype("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(r) // 4 for r in raw], pa.int64()),
-                 pa.array([press(_planes(r)) for r in raw], pa.binary())], names=["doc_id", "h", "n", "ids"])
+                 pa.array([press(_planes(r)) for r in raw], pa.binary()),
+                 pa.array([press(counts.tobytes()) if k == 0 else None for k in range(len(raw))], pa.binary())],
+                names=["doc_id", "h", "n", "ids", "counts"])
 
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"),
-                       text.alias("text")).mapInArrow(run, "doc_id long, h long, n long, ids binary")
+                       text.alias("text")).mapInArrow(run, "doc_id long, h long, n long, ids binary, counts binary")
 
 
 def _planes(raw: bytes) -> bytes:
@@ -273,17 +278,19 @@ def _ids(pressed: bytes) -> np.ndarray:
 def _counts(encoded: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
-        total = np.zeros(0, np.int64)
+        import zstandard
+        total, open_up = np.zeros(0, np.int64), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for x in batch.column(0):
-                c = np.bincount(_ids(x.as_py()))
+                c = np.frombuffer(open_up(x.as_py()), "<i8")
                 if len(c) > len(total):
                     total = np.append(total, np.zeros(len(c) - len(total), np.int64))
                 total[:len(c)] += c
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.where("counts is not null").select("counts").mapInArrow(run, "id long, n long") \
+        .groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(encoded: DataFrame, path: str) -> None:

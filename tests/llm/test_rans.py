@@ -88,3 +88,10 @@ def test_damage_is_noticed(spark, docs, tmp_path):
 
 def test_empty_table(docs):
     assert R.round_trip(docs([]), PATH, 2).collect() == []
+
+
+def test_counts_come_with_the_encoded_rows(docs):
+    rows = [(i, f"some text number {i % 7} here") for i in range(60)] + [(90, None), (91, "")]
+    encoded = R.encode_documents(docs(rows), PATH, 2).withColumn("ids", F.lit(None).cast("binary"))
+    ids, n = np.unique(np.concatenate([r[4] for r in expected(rows)]), return_counts=True)
+    assert {r.id: r.n for r in R._counts(encoded).collect()} == dict(zip(ids.tolist(), n.tolist()))
