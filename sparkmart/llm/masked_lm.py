@@ -33,6 +33,7 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import io
 import zlib
 from collections import Counter
@@ -61,8 +62,13 @@ def words(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def _crc(end: str) -> int:
+    return zlib.crc32(end.encode("utf-8", "replace"))
+
+
 def ending(word: str) -> int:
-    return zlib.crc32(word[-2:].encode("utf-8", "replace")) % ENDINGS
+    return _crc(word[-2:]) % ENDINGS
 
 
 @dataclass
@@ -70,7 +76,8 @@ class Lexicon:
     """Numbered words, and by number (the last ``ENDINGS`` numbers are rare
     words, by ending): the input, the class, the group and the place in it, and the
     log of one occurrence's share (0 but for rare words). By class of an ending: the
-    logs of the groups' shares by the counts, and in each group of the places'."""
+    logs of the groups' shares by the counts, and in each group of the places', and
+    how many places the class has."""
 
     number: dict[str, int]
     input: np.ndarray
@@ -80,14 +87,17 @@ class Lexicon:
     share: np.ndarray
     groups: np.ndarray
     places: np.ndarray
+    rooms: np.ndarray
 
     def numbers(self, text: str | None) -> tuple[np.ndarray, list[str]]:
         """The numbers of a text's words, and its rare words."""
         each, top, rare = words(text), len(self.number), []
         found = list(map(self.number.get, each))
-        if None in found:
-            rare = [x for n, x in zip(found, each) if n is None]
-            found = [top + ending(x) if n is None else n for n, x in zip(found, each)]
+        at = -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            rare.append(each[at])
+            found[at] = top + ending(each[at])
         return np.array(found, np.uint16), rare
 
 
@@ -139,9 +149,10 @@ def lexicon(counts: DataFrame, vocabulary: int = VOCABULARY) -> Lexicon:
         logs = [np.log(x).astype(np.float32) for x in (
             groups / groups.sum(1, keepdims=True), places / np.maximum(groups, 1)[:, :, None])]
     share = np.concatenate([np.zeros(n), -np.log(rest + 1)])
-    inputs = np.array([i if i < INPUTS else INPUTS + zlib.crc32(w[-2:].encode("utf-8", "replace")) % BUCKETS
+    inputs = np.array([i if i < INPUTS else INPUTS + _crc(w[-2:]) % BUCKETS
                        for i, (w, _) in enumerate(top)] + [INPUTS + e % BUCKETS for e in range(ENDINGS)], np.int64)
-    return Lexicon({w: i for i, (w, _) in enumerate(top)}, inputs, klass, group, place, share, *logs)
+    return Lexicon({w: i for i, (w, _) in enumerate(top)}, inputs, klass, group, place, share, *logs,
+                   np.array([int(place[klass == OWN + e].max()) + 1 for e in range(ENDINGS)]))
 
 
 def number_documents(docs: DataFrame, lex: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,25 +179,39 @@ def number_documents(docs: DataFrame, lex: Lexicon, id_col: str = "doc_id", text
 
 def rare_shares(numbered: DataFrame, counts: DataFrame) -> DataFrame:
     """row, log_n: the sum of the logs of the counts of a document's rare words;
-    those never counted count once. Decimals, so that the order doesn't matter."""
-    return numbered.select("row", F.explode("rare").alias("word")).join(counts, "word") \
+    those never counted count once. Decimals, so that the order doesn't matter. A task
+    holds the counts of its words and reads the documents' past them, unsorted."""
+    return numbered.select("row", F.explode("rare").alias("word")).join(counts.hint("shuffle_hash"), "word") \
         .groupBy("row").agg(F.sum(F.log("n").cast("decimal(20,12)")).cast("double").alias("log_n"))
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """In place."""
-    z -= z.max(1, keepdims=True)
+def _by_class(around: list[np.ndarray], numbers: np.ndarray, lex: Lexicon):
+    """The order of words by class, and in it: the inputs around them, their numbers, their classes."""
+    klass = lex.klass[numbers]
+    order = np.argsort(klass.astype(np.uint16), kind="stable")
+    return order, [x.take(order) for x in around], numbers.take(order), klass.take(order)
+
+
+def _slopes(z: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """What the log-loss at one row of each column, a mean of ``n``, asks of the logits; in place."""
+    z -= z.max(0)
     np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    z *= 1 / (n * z.sum(0))
+    z[at, np.arange(len(at))] -= np.float32(1 / n)
     return z
 
 
 def _log_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-softmax of each row at one of its columns; overwrites ``z``."""
-    z -= z.max(1, keepdims=True)
-    out = z[np.arange(len(at)), at].copy()
+    """The log-softmax of each column at one of its rows; overwrites ``z``."""
+    z -= z.max(0)
+    out = z[at, np.arange(len(at))]
     np.exp(z, out=z)
-    return out - np.log(z.sum(1))
+    return out - np.log(z.sum(0))
+
+
+def _sums(x: np.ndarray, d: np.ndarray, rows: int) -> np.ndarray:
+    """The rows of ``d`` (given by columns) added up by ``x``."""
+    return np.stack([np.bincount(x, c, rows) for c in d], 1).astype(np.float32)
 
 
 @dataclass
@@ -223,32 +248,39 @@ class Network:
             return Network(*(z[f"arr_{i}"] for i in range(6))), float(z["arr_6"])
 
     def _forward(self, around: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        a = self.hidden + self.embed[0][around[0]]
+        """The states, and the logits over the classes. All with a column for each
+        word, so that softmaxes run along words and not over a few numbers at a time."""
+        a = self.hidden + self.embed[0].take(around[0], 0)
         for k in range(1, len(around)):
-            a += self.embed[k][around[k]]
-        np.tanh(a, out=a)
-        z = a @ self.out.T
-        z += self.bias
+            a += self.embed[k].take(around[k], 0)
+        a = np.ascontiguousarray(np.tanh(a, out=a).T)
+        z = self.out @ a
+        z += self.bias[:, None]
         return a, z
 
-    def _endings(self, a: np.ndarray, numbers: np.ndarray, lex: Lexicon):
-        """For each ending: the rows of its words, their states, groups, places,
-        and the logits over the groups and over the places of the own group."""
-        klass = lex.klass[numbers]
-        order = np.argsort(klass, kind="stable")
-        cuts = np.searchsorted(klass[order], np.arange(OWN, CLASSES + 1))
+    def _endings(self, a: np.ndarray, numbers: np.ndarray, klass: np.ndarray, lex: Lexicon):
+        """For each ending: its words (which are in order of class), their states, groups,
+        places, and the logits over the groups and over the places of the own group."""
+        cuts = np.searchsorted(klass, np.arange(OWN, CLASSES + 1))
         for e in range(ENDINGS):
-            if len(rows := order[cuts[e]:cuts[e + 1]]):
-                h, g, p = a[rows], lex.group[numbers[rows]], lex.place[numbers[rows]]
-                yield e, rows, h, g, p, h @ self.groups[e].T + lex.groups[e], h @ self.places[e].T + lex.places[e][g]
+            if cuts[e] < cuts[e + 1]:
+                at, n = slice(cuts[e], cuts[e + 1]), lex.rooms[e]
+                h, g, p = a[:, at], lex.group[numbers[at]], lex.place[numbers[at]]
+                zg, zp = self.groups[e] @ h, self.places[e, :n] @ h
+                zg += lex.groups[e][:, None]
+                zp += lex.places[e, :, :n].T.take(g, 1)
+                yield e, at, h, g, p, zg, zp
 
     def log_words(self, around: list[np.ndarray], numbers: np.ndarray, lex: Lexicon) -> np.ndarray:
         """log p(number | window) of each place."""
+        order, around, numbers, klass = _by_class(around, numbers, lex)
         a, z = self._forward(around)
-        logs = _log_at(z, lex.klass[numbers])
-        for _, rows, _, g, p, zg, zp in self._endings(a, numbers, lex):
-            logs[rows] += _log_at(zg, g) + _log_at(zp, p)
-        return logs
+        logs = _log_at(z, klass)
+        for _, at, _, g, p, zg, zp in self._endings(a, numbers, klass, lex):
+            logs[at] += _log_at(zg, g) + _log_at(zp, p)
+        out = np.empty_like(logs)
+        out[order] = logs
+        return out
 
     def learner(self) -> Learner:
         # words of a group come seldom, so what they change first must not be held back
@@ -263,22 +295,19 @@ class Learner:
     def step(self, around: list[np.ndarray], numbers: np.ndarray, lex: Lexicon) -> None:
         """One Adagrad step on the mean log-loss of a batch."""
         n, net = len(numbers), self.net
+        _, around, numbers, klass = _by_class(around, numbers, lex)
         a, p = net._forward(around)
-        _softmax(p)[np.arange(n), lex.klass[numbers]] -= 1
-        p /= n
-        da = p @ net.out
+        _slopes(p, klass, n)
+        da = net.out.T @ p
         dg, dp = np.zeros_like(net.groups), np.zeros_like(net.places)
-        for e, rows, h, *at, zg, zp in net._endings(a, numbers, lex):
-            for z, k, w, d in ((zg, at[0], net.groups, dg), (zp, at[1], net.places, dp)):
-                _softmax(z)[np.arange(len(rows)), k] -= 1
-                z /= n
-                da[rows] += z @ w[e]
-                d[e] = z.T @ h
+        for e, at, h, *rows, zg, zp in net._endings(a, numbers, klass, lex):
+            for z, k, w, d in ((zg, rows[0], net.groups, dg), (zp, rows[1], net.places, dp)):
+                _slopes(z, k, n)
+                da[:, at] += w[e, :len(z)].T @ z
+                d[e, :len(z)] = z @ h.T
         da *= 1 - a * a
-        de = np.zeros_like(net.embed)
-        for k, x in enumerate(around):
-            np.add.at(de[k], x, da)
-        for w, s, g in zip(net.arrays(), self.seen, (de, da.sum(0), p.T @ a, p.sum(0), dg, dp)):
+        de = np.stack([_sums(x, da, PAD + 1) for x in around])
+        for w, s, g in zip(net.arrays(), self.seen, (de, da.sum(1), p @ a.T, p.sum(1), dg, dp)):
             s += g * g
             w -= RATE * g / np.sqrt(s)
 

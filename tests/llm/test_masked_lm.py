@@ -69,3 +69,28 @@ def test_words_without_a_number_have_their_own_counts(spark):
     # one more word of each ending stands for those never counted
     unseen = {M.ending(w): math.exp(got[w]) / counts[w] for w in every if w not in lex.number}
     assert len(unseen) <= M.ENDINGS and sum(math.exp(got[w]) for w in every) + sum(unseen.values()) <= 1 + 1e-5
+
+
+def test_only_the_places_of_a_class_are_worked_out(spark):
+    import numpy as np
+    texts = [" ".join(f"{a}{b}ing w{a}ed" for a in "abcdefghij" for b in "klmnopqrstuvw") + " " + FREQUENT] * 3
+    lex = M.lexicon(M.count_words(spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], SCHEMA)))
+    net = M.Network.start(lex.places.shape[2])
+    around, numbers, _ = M._places([zlib.compress(lex.numbers(t)[0].tobytes(), 1) for t in texts], lex)
+    for _ in range(5):
+        learner = net.learner()
+        learner.step(around, numbers, lex)
+    _, inputs, sorted_numbers, klass = M._by_class(around, numbers, lex)
+    a, _ = net._forward(inputs)
+    of = {e: zp.shape for e, _, _, _, _, _, zp in net._endings(a, sorted_numbers, klass, lex)}
+    assert all(n == lex.rooms[e] for e, (n, _) in of.items()) and len({n for n, _ in of.values()}) > 1
+    # against softmaxes over all places, word by word
+    log = lambda z, k: z[k] - np.log(np.exp(z - z[np.isfinite(z)].max()).sum()) - z[np.isfinite(z)].max()
+    got = net.log_words(around, numbers, lex)
+    for i, n in enumerate(numbers):
+        h = np.tanh(net.hidden + sum(net.embed[k][x[i]] for k, x in enumerate(around)))
+        want, e = log(net.out @ h + net.bias, lex.klass[n]), lex.klass[n] - M.OWN
+        if e >= 0:
+            want += log(net.groups[e] @ h + lex.groups[e], lex.group[n])
+            want += log(net.places[e] @ h + lex.places[e][lex.group[n]], lex.place[n])
+        assert got[i] == pytest.approx(want, abs=1e-4)
