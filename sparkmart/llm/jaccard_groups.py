@@ -6,8 +6,8 @@ document's component under these links. Equal sets are one node from the start.
 
 1. *Who can link at all.* Sets that link share at least 80 % of each one's
    shingles, so of the first shingles of a set in any common order (here: by hash)
-   a known number must occur in another set's first ones as well. One aggregate and
-   one join over these few shingles leave the sets for which that holds.
+   a known number must occur in another set's first ones as well. One window
+   over these few shingles leaves the sets for which that holds.
 2. *Groups of similar documents.* Sets with an equal min-hash meet the most
    typical of them (the one with the most common shingles: of near copies, the
    text they were made from) and link to it if the similarity, worked out in full,
@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import written
@@ -141,10 +141,12 @@ def _each(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _may_link(each: DataFrame) -> DataFrame:
-    """``hi`` of the sets of which enough first shingles occur in another set."""
+    """``hi`` of the sets of which enough first shingles occur in another set.
+    The shingles, most of what the query shuffles, are dealt by token once."""
     rows = each.select("hi", F.explode("first").alias("token"))
-    shared = rows.groupBy("token").agg(F.min("hi").alias("a"), F.max("hi").alias("b")).where("a <> b").select("token")
-    count = rows.join(shared, "token").groupBy("hi").agg(F.count("*").alias("c"))
+    of = Window.partitionBy("token")
+    shared = rows.select("hi", F.min("hi").over(of).alias("a"), F.max("hi").over(of).alias("b")).where("a <> b")
+    count = shared.groupBy("hi").agg(F.count("*").alias("c"))
     need = each.groupBy("hi").agg(F.min("needed").alias("needed"))
     return count.join(need, "hi").where("c >= needed").select("hi")
 
@@ -318,7 +320,8 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     sketch = docs.sparkSession.sparkContext.broadcast(_sketch(sets))  # of fixed size
     stars = written(_stars(sets, sketch, percent), "jaccard-stars")
     members = written(_grouped(sets, components(stars)), "jaccard-members")
-    labels = components(stars.unionByName(_found(members, sketch, percent)))
+    # rounds read their links more than once
+    labels = components(written(stars.unionByName(_found(members, sketch, percent)), "jaccard-links"))
     of = nodes.join(labels, "node", "left").select("hi", "lo", F.coalesce("label", "node").alias("label"))
     return each.join(of, ["hi", "lo"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),

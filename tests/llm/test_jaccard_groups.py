@@ -112,3 +112,14 @@ def test_repeated_rows_null_ids_and_clashing_columns(spark, docs):
                                   "doc_id long, text string, n int, label string, gid int, tokens array<int>")
     assert _got(jaccard_groups.linked(clash)) == [(5, 4, 5)]
     assert jaccard_groups.linked(docs([])).collect() == []
+
+
+def test_first_shingles_are_dealt_once_and_sets_that_share_enough_stay(spark, docs):
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base), " ".join(base[:-1] + ["end"]), " ".join(base), " ".join(f"x{k}" for k in range(60)), None]
+    each = jaccard_groups._each(docs(list(enumerate(texts))).select("doc_id", "text"), 5, 80)
+    rows = each.collect()
+    may = jaccard_groups._may_link(jaccard_groups.written(each, "each"))
+    assert {r.hi for r in may.collect()} == {rows[0].hi, rows[1].hi}
+    plan = may._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("hashpartitioning(token") == 1
