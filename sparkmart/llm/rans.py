@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from collections.abc import Sequence
 
 import numpy as np
 import regex
@@ -155,6 +156,24 @@ _PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
 
+#: One of these after letters is a word of its own.
+_STOPS = frozenset(",.;:!?")
+
+
+def _words(chunk: str) -> Sequence[str] | None:
+    """The words of a chunk without blanks; None if the tokenizer has to see all of
+    it. Most chunks are letters, or letters and a stop, and need no expression."""
+    if chunk.isascii():
+        if chunk.isalpha():
+            return (chunk.lower(),)
+        if chunk[-1:] in _STOPS and chunk[:-1].isalpha():
+            return chunk[:-1].lower(), chunk[-1]
+    if not _PLAIN(chunk):
+        return None
+    low = chunk.lower()
+    return (low,) if low.isalpha() else _WORDS(low)
+
+
 class _Ids:
     """Ids of whole texts from the tokenizers library, which is asked for new
     words only: a text's ids are those of its words, one after the other."""
@@ -198,9 +217,8 @@ class _Ids:
         fresh = dict.fromkeys(x[2] for x in unknown)  # each chunk is worked off once
         new: dict[str, None] = {}
         for chunk in fresh:
-            if _PLAIN(chunk):
-                low = chunk.lower()
-                fresh[chunk] = words = (low,) if low.isalpha() else _WORDS(low)
+            if words := _words(chunk):
+                fresh[chunk] = words
                 for w in words:
                     if w not in known:
                         new[w] = None
@@ -255,7 +273,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc
             counts = np.bincount(np.frombuffer(b"".join(raw), "<u4")).astype("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(r) // 4 for r in raw], pa.int64()),
-                 pa.array([press(_planes(r)) for r in raw], pa.binary()),
+                 pa.array([press(_packed(r)) for r in raw], pa.binary()),
                  pa.array([press(counts.tobytes()) if k == 0 else None for k in range(len(raw))], pa.binary())],
                 names=["doc_id", "h", "n", "ids", "counts"])
 
@@ -264,15 +282,21 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc
                        text.alias("text")).mapInArrow(run, "doc_id long, h long, n long, ids binary, counts binary")
 
 
-def _planes(raw: bytes) -> bytes:
-    """The ids' bytes by place: the upper ones are nearly all zero."""
-    return np.frombuffer(raw, np.uint8).reshape(-1, 4).T.tobytes()
+def _packed(raw: bytes) -> bytes:
+    """The ids in 16 bits each if all fit, and whether they do."""
+    ids = np.frombuffer(raw, "<u4")
+    return b"\2" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\4" + raw
 
 
-def _ids(pressed: bytes) -> np.ndarray:
+@functools.lru_cache(maxsize=1)
+def _opener():
     import zstandard
-    planes = zstandard.ZstdDecompressor().decompress(pressed)
-    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(-1)
+    return zstandard.ZstdDecompressor()
+
+
+def _ids(pressed: bytes) -> np.ndarray:
+    packed = _opener().decompress(pressed)
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype("<u4")
 
 
 def _counts(encoded: DataFrame) -> DataFrame:

@@ -95,3 +95,18 @@ def test_counts_come_with_the_encoded_rows(docs):
     encoded = R.encode_documents(docs(rows), PATH, 2).withColumn("ids", F.lit(None).cast("binary"))
     ids, n = np.unique(np.concatenate([r[4] for r in expected(rows)]), return_counts=True)
     assert {r.id: r.n for r in R._counts(encoded).collect()} == dict(zip(ids.tolist(), n.tolist()))
+
+
+def test_ids_are_packed_in_16_bits_where_they_fit():
+    import zstandard
+    press = zstandard.ZstdCompressor(level=1).compress
+    for ids, size in (([2], 3), ([0, 49_151, 65_535], 7), ([65_536, 2], 9)):
+        raw = np.array(ids, "<u4").tobytes()
+        packed = R._packed(raw)
+        assert len(packed) == size and R._ids(press(packed)).tolist() == ids
+
+
+@pytest.mark.parametrize("chunk", ["Word", "Word,", "end.", "it's", "don't.", "a.b", ",", "x2!", "\u00c9t\u00e9.", "a\x00", "caf\u00e9", "wow!?"])
+def test_short_ways_to_words_are_those_of_the_expression(chunk):
+    plain = R._PLAIN(chunk)
+    assert list(R._words(chunk) or []) == (R._WORDS(chunk.lower()) if plain else [])
