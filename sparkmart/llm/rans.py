@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
@@ -43,6 +44,8 @@ CHECKPOINT = 1 << 18
 SHARD = 1 << 24
 #: Chunks and words whose ids a worker remembers; bounds its memory.
 MEMO = 600_000
+#: Characters that are encoded together, about; more of them hold fewer new chunks.
+RUN = 1 << 22
 
 _LOW, _WORD = np.uint64(1 << 31), np.uint64(32)
 _SCALE, _MASK = np.uint64(SCALE_LOG2), np.uint64((1 << SCALE_LOG2) - 1)
@@ -174,6 +177,15 @@ def _words(chunk: str) -> Sequence[str] | None:
     return (low,) if low.isalpha() else _WORDS(low)
 
 
+def _parted(column):
+    """Texts of an Arrow column with the same ids, of which fewer chunks differ: a stop
+    that ends a chunk of letters stands alone, and A-Z are small unless there
+    are marks, with which a small letter may form a sign where its capital does not."""
+    import pyarrow.compute as pc
+    column = pc.replace_substring_regex(column, r"([A-Za-z])([,.;:!?])( |$)", r"\1 \2\3")
+    return pc.if_else(pc.match_substring_regex(column, r"\p{M}"), column, pc.ascii_lower(column))
+
+
 class _Ids:
     """Ids of whole texts from the tokenizers library, which is asked for new
     words only: a text's ids are those of its words, one after the other."""
@@ -193,50 +205,58 @@ class _Ids:
 
     def _learn(self, words: list[str]) -> None:
         """Many words at a time; the last id of a word says that it is the last."""
-        ids = self._library(" ".join(words))
+        # letters a to z are their own normal form and bytes, so the library's model takes them as they are
+        model, others = self.tokenizer.model.tokenize, []
+        for w in words:
+            if w.isascii() and w.isalpha():
+                self.words[w] = array("I", [t.id for t in model(w)]).tobytes()
+            else:
+                others.append(w)
+        ids = self._library(" ".join(others))
         ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(words):
+        if len(ends) != len(others):
             raise ValueError("a word has no end among its ids")
         raw, ends = ids.tobytes(), (4 * ends).tolist()
-        self.words.update(zip(words, [raw[at:end] for at, end in zip([0, *ends], ends)]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        # a blank or a line end always ends a word and is part of none
-        get, known, out, unknown = self.chunks.get, self.words, [], []
-        for k, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                out.append([self._library(text).tobytes()])
-                continue
-            chunks = text.replace("\n", " ").split(" ")
-            parts = list(map(get, chunks))
-            out.append(parts)
-            at = -1
-            for _ in range(parts.count(None)):
-                at = parts.index(None, at + 1)
-                unknown.append((k, at, chunks[at]))
-        fresh = dict.fromkeys(x[2] for x in unknown)  # each chunk is worked off once
-        new: dict[str, None] = {}
-        for chunk in fresh:
-            if words := _words(chunk):
-                fresh[chunk] = words
-                for w in words:
-                    if w not in known:
-                        new[w] = None
-        if new:
+        self.words.update(zip(others, [raw[at:end] for at, end in zip([0, *ends], ends)]))
+
+    def _parts(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without blanks, each given once."""
+        parts = list(map(self.chunks.get, chunks))
+        missing = [k for k, part in enumerate(parts) if part is None]
+        found, known = [_words(chunks[k]) for k in missing], self.words
+        if new := dict.fromkeys(w for words in found if words for w in words if w not in known):
             self._learn(list(new))
-        for chunk, words in fresh.items():
-            if words is None:
+        for k, words in zip(missing, found):
+            chunk = chunks[k]
+            if not words:
                 part = self._library(chunk).tobytes()
             else:
                 part = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
-            fresh[chunk] = part
+            parts[k] = part
             if len(chunk) <= 64 and len(self.chunks) < MEMO:
                 self.chunks[chunk] = part
-        for k, at, chunk in unknown:
-            out[k][at] = fresh[chunk]
-        if len(self.words) > MEMO:
-            self.words.clear()
-        return [b"".join(parts) for parts in out]
+        if len(known) > MEMO:
+            known.clear()
+        return parts
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Arrow cuts the texts and numbers their chunks, so that Python sees each
+        chunk once, and arrays put the ids together."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        whole = {k: self._library(t).tobytes() for k, t in enumerate(texts) if any(s in t for s in self.special)}
+        column = pa.array(["" if k in whole else t for k, t in enumerate(texts)] if whole else texts, pa.large_string())
+        # a blank or a line end always ends a word and is part of none
+        lists = pc.split_pattern(_parted(pc.replace_substring(column, "\n", " ")), " ")
+        numbered = lists.flatten().dictionary_encode()
+        parts = self._parts(numbered.dictionary.to_pylist())
+        ids, sizes = np.frombuffer(b"".join(parts), "<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
+        at = numbered.indices.to_numpy()
+        n, first = sizes[at], (np.cumsum(sizes) - sizes)[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = ids[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]
+        ends = ends[lists.offsets.to_numpy()].tolist()
+        return [whole[k] if k in whole else ids[i:j].tobytes() for k, (i, j) in enumerate(zip(ends, ends[1:]))]
 
 
 @functools.lru_cache(maxsize=2)
@@ -257,6 +277,19 @@ def _some(texts: list[str], most: int):
         yield run
 
 
+def _joined(batches):
+    """The batches, small ones put together up to about ``RUN`` bytes."""
+    import pyarrow as pa
+    run: list = []
+    for batch in batches:
+        run.append(batch)
+        if sum(b.nbytes for b in run) >= RUN:
+            yield pa.Table.from_batches(run).combine_chunks().to_batches()[0]
+            run = []
+    if run and any(b.num_rows for b in run):
+        yield pa.Table.from_batches(run).combine_chunks().to_batches()[0]
+
+
 def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """doc_id, h (hash of the text), n, ids (compressed) of each row; the first row of
@@ -266,10 +299,10 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc
         import zstandard
         tokenizer, end = _tokenizer(path), np.array([end_id], "<u4").tobytes()
         press = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
+        for batch in _joined(batches):
             texts = [t or "" for t in batch.column(2).to_pylist()]
             with uncollected():
-                raw = [ids + end for some in _some(texts, 1 << 20) for ids in tokenizer.encode(some)]
+                raw = [ids + end for some in _some(texts, RUN) for ids in tokenizer.encode(some)]
             counts = np.bincount(np.frombuffer(b"".join(raw), "<u4")).astype("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(r) // 4 for r in raw], pa.int64()),

@@ -110,3 +110,32 @@ def test_ids_are_packed_in_16_bits_where_they_fit():
 def test_short_ways_to_words_are_those_of_the_expression(chunk):
     plain = R._PLAIN(chunk)
     assert list(R._words(chunk) or []) == (R._WORDS(chunk.lower()) if plain else [])
+
+
+def test_chunks_that_differ_in_case_or_stop_only_are_worked_off_once(monkeypatch):
+    own, asked, words = R._Ids(PATH), [], R._words
+    monkeypatch.setattr(R, "_words", lambda chunk: asked.append(chunk) or words(chunk))
+    text = "Word word, WORD. word\nword. Word, wORD:"
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() \
+        == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == [",", ".", ":", "word"]
+
+
+@pytest.mark.parametrize("text", [
+    "A, b. C! D?", "a,, b., c.\n,", "a,b, c", "H̱ello H̱, ẖ.", "İ, Å. å", "café, CAFÉ. É, ",
+    "ΟΣ, Σ.", "it's, IT'S.", "a <|endoftext|>, B.", "A\t, B\x00, c", ", . ;", "x9, 9x.", "a, b, A.\r\n"])
+def test_parted_texts_have_the_librarys_ids(text):
+    want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    for texts in ([text], ["some", text, "", text]):
+        got = R._Ids(PATH).encode(texts)
+        assert [np.frombuffer(g, "<u4").tolist() for t, g in zip(texts, got) if t == text] == [want] * texts.count(text)
+
+
+def test_small_batches_are_joined_and_none_is_lost(monkeypatch):
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_pydict({"x": pa.array(range(k), pa.int64())}) for k in (3, 0, 40, 1, 200, 2)]
+    monkeypatch.setattr(R, "RUN", 300)
+    got = list(R._joined(iter(batches)))
+    assert len(got) < len(batches)
+    assert [x for b in got for x in b.column(0).to_pylist()] == [x for b in batches for x in b.column(0).to_pylist()]
+    assert list(R._joined(iter(batches[1:2]))) == list(R._joined(iter([]))) == []
