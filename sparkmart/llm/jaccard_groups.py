@@ -172,12 +172,17 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, keys array<long>, tokens array<long>")
 
 
+def _similar(pairs: DataFrame, percent: int) -> DataFrame:
+    """``a``, ``b`` of the pairs whose sets ``x`` and ``y`` are similar enough."""
+    both = pairs.withColumn("both", F.size(F.array_intersect("x", "y")))
+    return both.where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` of documents whose sets are similar enough."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
-    return both.where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
+    return _similar(pairs.join(left, "a").join(right, "b"), percent)
 
 
 def _sketch(sets: DataFrame):
@@ -271,40 +276,57 @@ def _rarest(members: DataFrame, sketch, percent: int) -> DataFrame:
     return rare.select("doc_id", "n", "label", "size", "gid", F.explode("tokens").alias("token"))
 
 
+def _held(members: DataFrame, sketch, percent: int) -> DataFrame:
+    """The rows of ``_rarest`` of shingles with holders in more than one component,
+    with own and top: the document's and the largest component among the holders.
+    The shingles are dealt by token once, and few of them are left."""
+    of, by = Window.partitionBy("token"), F.struct("size", "label")
+    rare = _rarest(members, sketch, percent)
+    return rare.select("token", "doc_id", "n", "gid", by.alias("own"), F.max(by).over(of).alias("top"),
+                       F.min(by).over(of).alias("low")).where("top <> low").drop("low")
+
+
 def _asked(members: DataFrame, sketch, percent: int) -> DataFrame:
     """Pairs ``doc_id``, ``gid``: the groups a document has to be held against.
     Of two components the smaller one asks (of equal ones that with the smaller
     label), so a document asks groups with a member of a larger component."""
-    rare = written(_rarest(members, sketch, percent), "jaccard-rarest")
-    by = F.struct("size", "label")
-    holders = rare.groupBy("token").agg(F.max(by).alias("top"), F.min(by).alias("low")).where("top <> low") \
-        .select("token", "top")
-    groups = members.groupBy("gid").agg(F.min("n").alias("short"), F.max("n").alias("long"), F.max(by).alias("of"))
-    matrix = rare.select("token", "gid").distinct().join(holders.select("token"), "token").join(groups, "gid")
-    asking = rare.select("token", "doc_id", "n", by.alias("own")).join(holders, "token").where("own <> top")
+    held = written(_held(members, sketch, percent), "jaccard-held")
+    groups = members.groupBy("gid").agg(F.min("n").alias("short"), F.max("n").alias("long"),
+                                        F.max(F.struct("size", "label")).alias("of"))
+    matrix = held.select("token", "gid").distinct().join(groups, "gid")
+    asking = held.where("own <> top").select("token", "doc_id", "n", "own")
     fits = (F.col("own") < F.col("of")) & (100 * F.col("long") >= percent * F.col("n")) \
         & (percent * F.col("short") <= 100 * F.col("n"))
-    return asking.drop("top").join(matrix, "token").where(fits).select("doc_id", "gid").distinct()
+    return asking.join(matrix, "token").where(fits).select("doc_id", "gid").distinct()
 
 
-def _found(members: DataFrame, sketch, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` between documents of different components so far."""
-    asked = written(_asked(members, sketch, percent), "jaccard-asked")
+def _opened(members: DataFrame, asked: DataFrame, percent: int) -> DataFrame:
+    """``asked`` without the groups that stay shut, with the document's n, label
+    and tokens."""
     unions = members.join(asked.select("gid").distinct(), "gid", "left_semi") \
         .groupBy("gid").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"),
                             F.min("n").alias("short"))
-    own = members.select("doc_id", "n", "tokens")
+    own = members.select("doc_id", "n", "label", "tokens")
     # a member shares at most the overlap with the union and has at least the shortest's length
     enough = (100 + percent) * F.size(F.array_intersect("tokens", "union")) >= percent * (F.col("n") + F.col("short"))
-    qualified = asked.join(own, "doc_id").join(unions, "gid") \
+    return asked.join(own, "doc_id").join(unions, "gid") \
         .where(enough & (F.size(F.array_intersect("tokens", "union")) >= shared_at_least(F.col("n"), percent))) \
-        .select("doc_id", "gid")
-    qualified = written(qualified, "jaccard-opened")
-    inside = members.select("gid", F.col("doc_id").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
-    pairs = qualified.join(members.select("doc_id", "n", "label"), "doc_id").join(inside, "gid") \
-        .where((F.col("label") != F.col("bl")) & (100 * F.least("n", "bn") >= percent * F.greatest("n", "bn"))) \
-        .select(F.col("doc_id").alias("a"), "b")
-    return _verified(pairs, members, percent)
+        .select("doc_id", "gid", "n", "label", "tokens")
+
+
+def _found(members: DataFrame, sketch, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` between documents of different components so far. A
+    document's set goes to each group it opens once, not to each of its members."""
+    asked = written(_asked(members, sketch, percent), "jaccard-asked")
+    opened = written(_opened(members, asked, percent), "jaccard-opened")
+    left = opened.select("gid", F.col("doc_id").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"),
+                         F.col("tokens").alias("x"))
+    right = _kept(members, written(opened.select("gid").distinct(), "jaccard-opened-groups"), "gid") \
+        .select("gid", F.col("doc_id").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"),
+                F.col("tokens").alias("y"))
+    pairs = left.join(right, "gid") \
+        .where((F.col("al") != F.col("bl")) & (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")))
+    return _similar(pairs, percent)
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,

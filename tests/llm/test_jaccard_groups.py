@@ -123,3 +123,29 @@ def test_first_shingles_are_dealt_once_and_sets_that_share_enough_stay(spark, do
     assert {r.hi for r in may.collect()} == {rows[0].hi, rows[1].hi}
     plan = may._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("hashpartitioning(token") == 1
+
+
+def test_sets_are_shuffled_by_group_and_not_for_each_pair(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard_groups, "BROADCAST", 0)
+    rng, J = random.Random(5), jaccard_groups
+    rows = list(enumerate([*_family(rng, 30, 50, 4), *_family(rng, 20, 30, 2)]))
+    sets = J.written(J._sets(docs(rows).select("doc_id", "text"), 5), "sets")
+    sketch = spark.sparkContext.broadcast(J._sketch(sets))
+    stars = J.written(J._stars(sets, sketch, 80), "stars").limit(0)  # the matrix finds them all
+    members = J.written(J._grouped(sets, J.components(stars)), "members")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = J._found(members, sketch, 80)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(gid" in plan
+        assert "hashpartitioning(a#" not in plan and "hashpartitioning(b#" not in plan
+        plan = J._held(members, sketch, 80)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(token") == 1
+        links = {frozenset(r) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    lists = [_set(t) for _, t in rows]
+    want = {frozenset((i, j)) for i in range(len(rows)) for j in range(i)
+            if 100 * len(lists[i] & lists[j]) >= 80 * len(lists[i] | lists[j])}
+    assert links and links <= want
