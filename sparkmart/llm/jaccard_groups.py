@@ -54,7 +54,7 @@ KEYS = 4
 TILE, TILE_TOKENS = 32, 1 << 17
 #: Counters of the sketch that orders shingles by rarity.
 SLOTS = 1 << 20
-#: Most ids that go to every task; more are joined by a shuffle.
+#: Most rows of ids that go to every task; more are joined by a shuffle.
 BROADCAST = 100_000
 #: Words whose hashes a worker remembers before it starts anew.
 MEMO = 200_000
@@ -151,11 +151,15 @@ def _may_link(each: DataFrame) -> DataFrame:
     return count.join(need, "hi").where("c >= needed").select("hi")
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """``rows``, a written table of few bytes a row, for a join: sent to every task
+    if they are few, else joined by a shuffle."""
+    return F.broadcast(rows) if rows.limit(BROADCAST + 1).count() <= BROADCAST else rows
+
+
 def _kept(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows whose ``key`` is among ``ids``, a written table without repeats:
-    sent to every task if few, else joined by a shuffle."""
-    few = ids.limit(BROADCAST + 1).count() <= BROADCAST
-    return rows.join(F.broadcast(ids) if few else ids, key, "left_semi")
+    """The rows whose ``key`` is among ``ids``, a written table without repeats."""
+    return rows.join(_sent(ids), key, "left_semi")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -252,7 +256,7 @@ def _grouped(sets: DataFrame, labels: DataFrame) -> DataFrame:
     dealt = small.join(tiles, of_home).withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
     groups = dealt.groupBy(*of_home, "tile").agg(F.min("doc_id").alias("gid"))
     of = dealt.join(groups, [*of_home, "tile"]).select("doc_id", "label", "size", "gid")
-    return sets.drop("keys").join(of, "doc_id")
+    return sets.drop("keys").join(_sent(written(of, "jaccard-groups")), "doc_id")
 
 
 def _rarest(members: DataFrame, sketch, percent: int) -> DataFrame:
@@ -309,7 +313,7 @@ def _opened(members: DataFrame, asked: DataFrame, percent: int) -> DataFrame:
     own = members.select("doc_id", "n", "label", "tokens")
     # a member shares at most the overlap with the union and has at least the shortest's length
     enough = (100 + percent) * F.size(F.array_intersect("tokens", "union")) >= percent * (F.col("n") + F.col("short"))
-    return asked.join(own, "doc_id").join(unions, "gid") \
+    return _sent(asked).join(own, "doc_id").join(unions, "gid") \
         .where(enough & (F.size(F.array_intersect("tokens", "union")) >= shared_at_least(F.col("n"), percent))) \
         .select("doc_id", "gid", "n", "label", "tokens")
 
